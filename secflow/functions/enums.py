@@ -184,7 +184,9 @@ def protocol_words() -> dict[str, str]:
 
 
 def _literal_map(words: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(text) for pair in words.items() for text in pair])
+    """The table as one constant; no word contains a tab or a line end."""
+    text = "\n".join(f"{word}\t{name}" for word, name in words.items())
+    return F.str_to_map(F.lit(text), F.lit("\n"), F.lit("\t"))
 
 
 def lookup(value: Column, words: dict[str, str], unknown: str | None) -> Column:

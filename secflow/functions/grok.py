@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from secflow.functions.text import means_null
+from secflow.functions.text import clean_map
 
 # The pattern library, one "NAME pattern" per line.
 COMMON_PATTERNS = r"""
@@ -162,14 +162,18 @@ def grok_values(text: Column, pattern: str, patterns: dict[str, str] | None = No
 def parse_grok(text: Column, pattern: str, patterns: dict[str, str] | None = None) -> Column:
     """Map of captured fields, trimmed and without null synonyms; an empty map when nothing matches."""
     values, fields = grok_values(text, pattern, patterns)
-    # A field named twice keeps the value of its first group that took part in the match.
-    names = list(dict.fromkeys(fields))
-    first = [
-        F.coalesce(*[
-            F.when(F.trim(F.get(values, F.lit(i))) != "", F.trim(F.get(values, F.lit(i))))
-            for i, field in enumerate(fields) if field == name
-        ])
-        for name in names
-    ]
-    entries = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*first))
-    return F.map_filter(entries, lambda _, v: v.isNotNull() & ~means_null(v))
+    if len(set(fields)) == len(fields):
+        names = F.split(F.lit(",".join(fields)), ",")
+        entries = F.when(values.isNotNull(), F.map_from_arrays(names, values))
+    else:
+        # A field named twice keeps the value of its first group that took part in the match.
+        distinct = list(dict.fromkeys(fields))
+        first = [
+            F.coalesce(*[
+                F.when(F.get(values, F.lit(i)) != "", F.get(values, F.lit(i)))
+                for i, field in enumerate(fields) if field == name
+            ])
+            for name in distinct
+        ]
+        entries = F.map_from_arrays(F.array(*map(F.lit, distinct)), F.array(*first))
+    return F.coalesce(clean_map(entries), F.create_map().cast("map<string,string>"))

@@ -18,15 +18,20 @@ Leaves = dict[str, Column]
 
 def text(*keys: str) -> Column:
     """First of the named fields that has a value."""
-    return F.coalesce(*[F.try_element_at(F.col("fields"), F.lit(k)) for k in keys])
+    return _first(keys, "{}")
 
 
 def integer(*keys: str) -> Column:
-    return F.coalesce(*[text(k).try_cast("int") for k in keys])
+    return _first(keys, "try_cast({} as int)")
 
 
 def long(*keys: str) -> Column:
-    return F.coalesce(*[text(k).try_cast("bigint") for k in keys])
+    return _first(keys, "try_cast({} as bigint)")
+
+
+def _first(keys: Sequence[str], form: str) -> Column:
+    values = [form.format(f"try_element_at(fields, '{key}')") for key in keys]
+    return F.expr(f"coalesce({', '.join(values)})" if len(values) > 1 else values[0])
 
 
 def switch(on: Column, cases: Sequence[tuple[Sequence[str], Column | str]],

@@ -34,27 +34,30 @@ def failed_messages(checks: Checks) -> Column:
 
 
 def get(key: str, fields: str = "fields") -> Column:
-    return F.try_element_at(F.col(fields), F.lit(key))
-
-
-def has(key: str) -> Column:
-    """The key is there, with one value or several."""
-    return get(key).isNotNull() | get(key, "multi").isNotNull()
+    return F.expr(f"try_element_at({fields}, '{key}')")
 
 
 def required(key: str) -> tuple[str, Column]:
-    return f"Field {key} is required", get(key).isNotNull()
+    return f"Field {key} is required", F.expr(f"try_element_at(fields, '{key}') is not null")
 
 
-def valid_ip(key: str) -> tuple[str, Column]:
-    """A key with several values is never one address."""
-    absent = get(key).isNull() & F.coalesce(get(key, "multi").isNull(), F.lit(True))
-    return f"Field {key} should be a valid ip address", absent | is_ip(get(key))
+def valid_ips(*keys: str) -> list[tuple[str, Column]]:
+    """One check per key; a key with several values is never one address."""
+    wrong = F.map_keys(
+        F.map_filter(F.col("fields"), lambda k, v: k.isin(list(keys)) & ~is_ip(v))
+    )
+    repeated = F.coalesce(F.map_keys("multi"), F.array().cast("array<string>"))
+    bad = F.concat(wrong, repeated)
+    return [(f"Field {key} should be a valid ip address", ~F.array_contains(bad, key))
+            for key in keys]
 
 
 def valid_port(key: str) -> tuple[str, Column]:
-    absent = get(key).isNull() & F.coalesce(get(key, "multi").isNull(), F.lit(True))
-    return f"Field {key} should be a valid port", absent | get(key).rlike(r"^\d*$")
+    """Digits only; a key with several values is never one port."""
+    return f"Field {key} should be a valid port", F.expr(
+        f"try_element_at(multi, '{key}') is null"
+        f" and coalesce(try_element_at(fields, '{key}') rlike '^[0-9]*$', true)"
+    )
 
 
 def one_of(first: str, *others: str) -> tuple[str, Column]:
@@ -84,12 +87,12 @@ EPOCH_DIGITS = r"^(\d{10}|\d{13}|\d{16}|\d{19})$"
 def firewall_checks() -> Checks:
     kind, sub = get("type"), get("subtype")
     source = one_of("srcip", "remip", "ip")
-    ips = F.lit(True)
-    for key in FIREWALL_IP_FIELDS:
-        ips = ips & (get(key).isNull() | is_ip(get(key)))
+    wrong = F.map_filter(
+        F.col("fields"), lambda k, v: k.isin(FIREWALL_IP_FIELDS) & ~is_ip(v)
+    )
     return Checks(
         general=[
-            ("All fields containing IP address should match correct pattern", ips),
+            ("All fields containing IP address should match correct pattern", F.size(wrong) == 0),
             required("eventtime"),
             ("Type of eventtime field is Long", get("eventtime").rlike(EPOCH_DIGITS)),
             required("logid"), required("type"), required("subtype"),
@@ -129,7 +132,7 @@ def windows_checks() -> Checks:
             ("Field EventID should be one of the mapped ids", get("EventID").isin(WINDOWS_IDS)),
             ("Windows local machine authentications should be filtered out",
              ~F.coalesce(machine, F.lit(False))),
-            valid_ip("SourceAddress"), valid_ip("IpAddress"), valid_ip("ClientAddress"),
+            *valid_ips("SourceAddress", "IpAddress", "ClientAddress"),
         ],
         groups=[(get("AccessMask").isNotNull(), [
             ("Field AccessMask fits 0x00 hex number format if present",
@@ -152,7 +155,7 @@ def audit_checks() -> Checks:
         types == F.array(*map(F.lit, AUDIT_MULTI)), F.lit(False))
     return Checks([
         ("message type is supported by Mapper", supported),
-        *[valid_ip(k) for k in ("addr", "saddr", "daddr", "laddr")],
+        *valid_ips("addr", "saddr", "daddr", "laddr"),
         *[valid_port(k) for k in ("rport", "sport", "src", "dest", "dport", "lport")],
     ])
 
@@ -183,7 +186,7 @@ def antivirus_checks() -> Checks:
          F.lower(get("event_type")).isin(ANTIVIRUS_TYPES)),
         ("Field occured should have correct format",
          format_epoch(get("occured"), ANTIVIRUS_FORMAT).isNotNull()),
-        valid_ip("target_address"), valid_ip("ipv4"), valid_ip("ipv6"),
+        *valid_ips("target_address", "ipv4", "ipv6"),
     ])
 
 
@@ -193,7 +196,7 @@ def fail2ban_checks() -> Checks:
          format_epoch(get("originTime"), FAIL2BAN_FORMAT).isNotNull()),
         ("Field aux2 should have value", get("aux2").isNotNull()),
         ("Field importance should have value", get("importance").isNotNull()),
-        valid_ip("sourceIp"),
+        *valid_ips("sourceIp"),
     ])
 
 
@@ -205,7 +208,7 @@ CONNECTOR_FIELDS = [
 
 
 def connector_checks() -> Checks:
-    return Checks([*[required(k) for k in CONNECTOR_FIELDS], valid_ip("SourceIP"), valid_ip("IP")])
+    return Checks([*[required(k) for k in CONNECTOR_FIELDS], *valid_ips("SourceIP", "IP")])
 
 
 VALIDATORS: dict[tuple[str, int], Callable[[], Checks]] = {

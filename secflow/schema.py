@@ -75,18 +75,32 @@ def leaves(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType]:
     return found
 
 
-def build(schema: T.StructType, values: dict[str, Column], prefix: str = "") -> Column:
+def build(schema: T.StructType, values: dict[str, Column]) -> Column:
     """Nested struct of ``schema`` from dotted leaf columns; missing leaves become typed NULLs."""
-    if not prefix:
-        unknown = set(values) - set(leaves(schema))
-        if unknown:
-            raise KeyError(f"not part of the schema: {sorted(unknown)}")
-    parts = []
-    for field in schema.fields:
-        name = prefix + field.name
-        if isinstance(field.dataType, T.StructType):
-            part = build(field.dataType, values, name + ".")
-        else:
-            part = values.get(name, F.lit(None)).cast(field.dataType)
-        parts.append(part.alias(field.name))
-    return F.struct(*parts)
+    unknown = set(values) - set(leaves(schema))
+    if unknown:
+        raise KeyError(f"not part of the schema: {sorted(unknown)}")
+    absent: dict[str, Column] = {}
+
+    def null(data_type: T.DataType) -> Column:
+        name = data_type.simpleString()
+        if name not in absent:
+            absent[name] = F.expr(f"cast(null as {name})")
+        return absent[name]
+
+    def struct(part: T.StructType, prefix: str) -> Column:
+        if not any(name.startswith(prefix) for name in values):
+            return null(part)
+        columns = []
+        for field in part.fields:
+            name = prefix + field.name
+            if isinstance(field.dataType, T.StructType):
+                column = struct(field.dataType, name + ".")
+            elif name in values:
+                column = values[name].cast(field.dataType)
+            else:
+                column = null(field.dataType)
+            columns.append(column.alias(field.name))
+        return F.struct(*columns)
+
+    return struct(schema, "")
