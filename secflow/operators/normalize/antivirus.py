@@ -12,6 +12,7 @@ from secflow.operators.normalize.common import (
     Leaves,
     aux,
     base,
+    field,
     integer,
     or_unknown,
     switch,
@@ -24,8 +25,8 @@ def _flag(key: str) -> Column:
 
 
 def json_antivirus() -> Leaves:
-    kind = F.lower(text("event_type"))
-    action = text("action", "action_taken")
+    kind = f"lower({field('event_type')})"
+    action = f"coalesce({field('action')}, {field('action_taken')})"
     fqdn, hostname = split_host(None, text("hostname"))
     website, firewall, threat = "filteredwebsites_event", "firewallaggregated_event", "threat_event"
     user = F.coalesce(F.when(text("user") != "", text("user")), text("parsed_username"))
@@ -63,7 +64,7 @@ def json_antivirus() -> Leaves:
         "object.name": text("process_name"),
         "object.path": text("object_uri"),
         "data.originTime": format_epoch(text("occured"), ANTIVIRUS_FORMAT),
-        "data.msgId": kind,
+        "data.msgId": F.lower(text("event_type")),
         **aux(
             _1=F.lower(text("hash")),
             _2=text("source_uuid"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.enums import to_action, to_counterpart, to_status
 from secflow.functions.text import split_host
-from secflow.operators.normalize.common import Leaves, base, integer, switch, text
+from secflow.operators.normalize.common import Leaves, base, field, integer, one_of, switch, text
 
 PATH_SLOTS = range(3, 11)
 
@@ -34,13 +34,14 @@ def audit(syscall_actions: dict[str, str] | None = None,
           syscall_objects: dict[str, str] | None = None) -> Leaves:
     """``syscall_actions`` and ``syscall_objects`` name the canonical action and object category
     of each system-call number; numbers they lack map to the unknown names."""
-    kind = F.upper(text("type"))
+    kind = f"upper({field('type')})"
+    kind_name = F.upper(text("type"))
     single = text("type").isNotNull()
     fqdn, hostname = split_host(None, text("hostname"))
     category = switch(kind, [
-        (["AVC"], switch(text("tclass"), [(["file"], "file"), (["process"], "process")],
+        (["AVC"], switch(field("tclass"), [(["file"], "file"), (["process"], "process")],
                          "UnknownCounterpart")),
-    ], to_counterpart(kind))
+    ], to_counterpart(kind_name))
     paths = F.array_sort(F.array_distinct(_any("name")))
 
     def slot(n: int, of_single: Column | None) -> Column:
@@ -56,25 +57,25 @@ def audit(syscall_actions: dict[str, str] | None = None,
         "source.port": integer("rport", "sport", "src"),
         "destination.ip": text("daddr", "laddr"),
         "destination.port": integer("dest", "dport", "lport"),
-        "interaction.action": F.when(single, to_action(kind)).otherwise(
+        "interaction.action": F.when(single, to_action(kind_name)).otherwise(
             to_action(text("syscall"), syscall_actions)),
-        "interaction.status": F.when(kind == "EXECVE", "success").when(
+        "interaction.status": F.when(one_of(kind, ["EXECVE"]), "success").when(
             single, to_status(text("interaction_status", "res"))
         ).otherwise(F.when(text("success").isNotNull(), to_status(text("success")))),
         "interaction.reason": F.when(~single, text("exit")),
         "subject.name": F.when(single, text("acct")),
         "subject.id": F.when(
-            kind.isin("USER_AUTH", "USER_END", "USER_LOGIN"), text("id")
+            one_of(kind, ["USER_AUTH", "USER_END", "USER_LOGIN"]), text("id")
         ).when(single, text("euid", "uid")).otherwise(text("euid")),
-        "subject.category": F.when(kind == "AVC", "system").when(
-            ~single | (kind == "USER_AUTH"), "account"),
+        "subject.category": F.when(one_of(kind, ["AVC"]), "system").when(
+            ~single | one_of(kind, ["USER_AUTH"]), "account"),
         "object.id": F.when(single, text("id")),
         "object.category": F.when(single, category).otherwise(
             to_counterpart(text("syscall"), syscall_objects)),
         "object.name": F.when(single, text("a0")).otherwise(text("comm")),
         "object.property": F.when(single, text("argc")),
-        "object.value": F.when(kind == "EXECVE", _command()),
-        "data.msgId": F.when(single, kind).otherwise("SYSCALL"),
+        "object.value": F.when(one_of(kind, ["EXECVE"]), _command()),
+        "data.msgId": F.when(single, kind_name).otherwise("SYSCALL"),
         "data.originTime": F.get(_any("msg_timestamp"), F.lit(0)).try_cast("bigint"),
         "data.aux1": text("auid"),
         "data.aux2": text("pid"),

@@ -29,20 +29,30 @@ def long(*keys: str) -> Column:
     return _first(keys, "try_cast({} as bigint)")
 
 
+def field(key: str) -> str:
+    """SQL text that reads a field."""
+    return f"try_element_at(fields, '{key}')"
+
+
 def _first(keys: Sequence[str], form: str) -> Column:
-    values = [form.format(f"try_element_at(fields, '{key}')") for key in keys]
+    values = [form.format(field(key)) for key in keys]
     return F.expr(f"coalesce({', '.join(values)})" if len(values) > 1 else values[0])
 
 
-def switch(on: Column, cases: Sequence[tuple[Sequence[str], Column | str]],
+def one_of(on: str, values: Sequence[str]) -> Column:
+    """``on`` (SQL text) is one of the values; one expression instead of a literal per value."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return F.expr(f"{on} in ({listed})")
+
+
+def switch(on: str, cases: Sequence[tuple[Sequence[str], Column | str]],
            otherwise: Column | str | None = None) -> Column:
-    """``CASE on WHEN …`` with several keys per branch."""
-    result = F.when(F.lit(False), F.lit(None).cast("string"))
+    """``CASE`` over SQL text ``on`` with several keys per branch; plain strings are literals."""
+    result = None
     for keys, value in cases:
-        result = result.when(on.isin(list(keys)), F.lit(value) if isinstance(value, str) else value)
-    if otherwise is None:
-        return result
-    return result.otherwise(F.lit(otherwise) if isinstance(otherwise, str) else otherwise)
+        here = one_of(on, keys)
+        result = F.when(here, value) if result is None else result.when(here, value)
+    return result if otherwise is None else result.otherwise(otherwise)
 
 
 def under(prefix: str, leaves: Leaves) -> Leaves:

@@ -17,6 +17,7 @@ from secflow.operators.normalize.common import (
     Leaves,
     aux,
     base,
+    field,
     integer,
     long,
     or_unknown,
@@ -120,10 +121,11 @@ ASA_REASONS = [
 
 
 def asa() -> Leaves:
-    message = text("datapayloadMsgId")
-    tested = text("interactionStatus")
+    message = field("datapayloadMsgId")
+    tested = field("interactionStatus")
+    has_message = text("datapayloadMsgId").isNotNull()
     unhealthy = ["Failed", "Undetermined"]
-    severity = F.when(message.isNotNull(), cisco_importance(text("interactionImportance")))
+    severity = F.when(has_message, cisco_importance(text("interactionImportance")))
     return {
         **base(1, "Firewall", subsys=text("eventSourceSubsys")),
         "source.ip": text("sourceLocationIp"),
@@ -174,14 +176,14 @@ def asa() -> Leaves:
             (["106001", "106006", "106011", "106014"], text("objectName")),
         ]),
         "data.interface": text("dataPayloadInterface"),
-        "data.msgId": message,
-        "data.originTime": F.when(message.isNotNull(), _syslog_time()),
+        "data.msgId": text("datapayloadMsgId"),
+        "data.originTime": F.when(has_message, _syslog_time()),
         **aux(_1=text("aux1"), _4=text("aux4"), _5=text("aux5"), _10=text("aux10")),
     }
 
 
 def ios() -> Leaves:
-    kind = text("eventType")
+    kind = field("eventType")
     fqdn, hostname = split_host(None, F.col("event_hostname"))
     login = ["login_failed", "login_success", "ssh2_userauth"]
     return {

@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from secflow.functions.dates import iso_epoch
 from secflow.functions.enums import access_mask_action, to_importance
 from secflow.functions.text import split_host
-from secflow.operators.normalize.common import Leaves, base, integer, or_unknown, switch, text
+from secflow.operators.normalize.common import (
+    Leaves,
+    base,
+    field,
+    integer,
+    one_of,
+    or_unknown,
+    switch,
+    text,
+)
 
 # Event ids by meaning; every other mapped id is an object audit.
 LOGON = ["4624", "4801", "4625"]
@@ -35,10 +44,10 @@ def _by_success(flag: Column) -> Column:
 
 
 def windows() -> Leaves:
-    event = text("EventID")
-    audit = ~event.isin(ALL_BUT_AUDIT)
-    file_access = event == "4663"
-    logon_type = F.when(event.isin(LOGON), integer("LogonType"))
+    event = field("EventID")
+    audit = ~one_of(event, ALL_BUT_AUDIT)
+    file_access = one_of(event, ["4663"])
+    logon_type = F.when(one_of(event, LOGON), integer("LogonType"))
     local_logon = F.coalesce(logon_type == 2, F.lit(False))
 
     fqdn, hostname = split_host(None, F.col("event_hostname"))
@@ -46,7 +55,7 @@ def windows() -> Leaves:
 
     # A logon's destination is completed from the event source; the others only name the host.
     target_fqdn, target_name = split_host(None, text("Hostname"))
-    is_logon = event.isin(LOGON)
+    is_logon = one_of(event, LOGON)
     named = text("Hostname").isNotNull()
     destination = {
         "fqdn": F.when(named, target_fqdn).when(is_logon, fqdn),
@@ -72,18 +81,18 @@ def windows() -> Leaves:
 
     target_is_subject = [*LOGON, *KERBEROS, *NTLM, *TICKET]
     user = text("TargetUserName")
-    by_target = event.isin(target_is_subject)
+    by_target = one_of(event, target_is_subject)
     subject = {
-        "name": F.when(event.isin(TICKET), F.regexp_replace(user, "@.*", ""))
+        "name": F.when(one_of(event, TICKET), F.regexp_replace(user, "@.*", ""))
         .when(by_target, user).otherwise(text("SubjectUserName")),
         "domain": F.when(
-            event.isin(KERBEROS),
+            one_of(event, KERBEROS),
             F.coalesce(F.replace(text("ServiceName"), F.lit("krbtgt/"), F.lit("")),
                        text("TargetDomainName")),
-        ).when(event.isin(NTLM), F.lit(None).cast("string"))
+        ).when(one_of(event, NTLM), F.lit(None).cast("string"))
         .when(by_target, text("TargetDomainName")).otherwise(text("SubjectDomainName")),
-        "id": F.when(event.isin([*LOGON, *KERBEROS]), text("TargetSid"))
-        .when(event.isin([*NTLM, *TICKET]), F.lit(None).cast("string"))
+        "id": F.when(one_of(event, [*LOGON, *KERBEROS]), text("TargetSid"))
+        .when(one_of(event, [*NTLM, *TICKET]), F.lit(None).cast("string"))
         .otherwise(text("SubjectUserSid")),
     }
 
@@ -98,14 +107,14 @@ def windows() -> Leaves:
             (CHANGE_AUDIT, text("SubcategoryId")),
             ([*ALL_BUT_AUDIT, "4663"], F.lit(None).cast("string")),
         ], text("ShareName")),
-        "domain": F.when(event.isin(target_is_object), text("TargetDomainName")),
+        "domain": F.when(one_of(event, target_is_object), text("TargetDomainName")),
         "id": switch(event, [
             (target_is_object, text("TargetSid")), (TICKET, text("ServiceSid")),
             (CHANGE_AUDIT, text("SubcategoryGuid")),
         ]),
         "path": F.when(file_access, text("ObjectName")).when(audit, text("ShareLocalPath"))
-        .when(event.isin(CHANGE_USER), text("ProfilePath")),
-        "property": F.when(event.isin(GROUP), "GroupMember"),
+        .when(one_of(event, CHANGE_USER), text("ProfilePath")),
+        "property": F.when(one_of(event, GROUP), "GroupMember"),
         "value": switch(event, [
             (GROUP, text("MemberUser", "member_user", "MemberName", "member_name", "MemberSid")),
             (CHANGE_USER, text("UserParameters")), (CHANGE_AUDIT, text("AuditPolicyChanges")),
@@ -163,7 +172,7 @@ def windows() -> Leaves:
         "collector.location.hostname": collector_name,
         "subject.category": F.lit("account"),
         "data.originTime": iso_epoch(text("EventTime")),
-        "data.msgId": event,
+        "data.msgId": text("EventID"),
     }
     for prefix, part in (("source", source), ("destination", destination), ("subject", subject),
                          ("object", obj), ("interaction", interaction)):
