@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from secflow.functions.dates import second_of_day
 from secflow.operators.rules import ExactLayer, Layers, RangeLayer, match_rules
 from secflow.operators.schedule import holiday_list, schedule_check
+from secflow.schema import with_leaves
 
 ALLOWED, RESTRICTED = "Allowed", "Restricted"
 
@@ -158,7 +159,8 @@ CONTROLS = {
 
 def control(
     df: DataFrame, rules: DataFrame, kind: str, holidays: DataFrame, event: str = "event",
-    compat_zero_is_any: bool = True,
+    compat_zero_is_any: bool = True, probe: DataFrame | None = None, verdict_col: str = "verdict",
+    rule_col: str = "rule_id",
 ) -> DataFrame:
     """Add ``rule_id`` and ``verdict`` (Allowed, Restricted or NULL) for one control.
 
@@ -170,7 +172,7 @@ def control(
     own = rules.where(F.col("type") == chosen.rule_type)
     matched = match_rules(
         df, own, chosen.layers(e), ["result", "intervals", "aux1"], chosen.eligible(e),
-        compat_zero_is_any,
+        compat_zero_is_any, probe,
     )
     rule = F.col("rule")
     verdict = rule["result"]
@@ -185,19 +187,33 @@ def control(
                 F.array_contains(types, e["interaction"]["logonType"]), F.lit(False)))
         opposite = F.when(verdict == ALLOWED, RESTRICTED).otherwise(ALLOWED)
         verdict = F.when(rule.isNotNull(), F.when(holds, verdict).otherwise(opposite))
-    return matched.withColumns({"rule_id": rule["rule_id"], "verdict": verdict}).drop(
+    return matched.withColumns({rule_col: rule["rule_id"], verdict_col: verdict}).drop(
         "rule", "_holidays")
 
 
+def as_flag(verdict: Column) -> Column:
+    return F.when(verdict == ALLOWED, True).when(verdict == RESTRICTED, False)
+
+
 def apply_verdict(df: DataFrame, kind: str, event: str = "event") -> DataFrame:
     """Write the verdict to its flag; no verdict leaves the flag as it was."""
     flag = CONTROLS[kind].flag
     old = F.col(event)["subject"]["enrichment"][flag]
-    value = F.when(F.col("verdict") == ALLOWED, True).when(F.col("verdict") == RESTRICTED, False)
-    return df.withColumn(
-        event, F.col(event).withField(f"subject.enrichment.{flag}", F.coalesce(value, old))
+    return with_leaves(
+        df, event, {f"subject.enrichment.{flag}": F.coalesce(as_flag(F.col("verdict")), old)}
     ).drop("verdict", "rule_id")
 
 
 # Order of the job: later verdicts on one flag replace earlier ones.
 CONTROL_ORDER = ["connection", "windows_logon", "windows_object", "vpn_logon"]
+
+
+def verdict_leaves(event: str = "event") -> dict[str, Column]:
+    """Event leaves filled from ``verdict_{kind}`` columns, the last verdict of a flag first."""
+    leaves: dict[str, Column] = {}
+    for flag in dict.fromkeys(c.flag for c in CONTROLS.values()):
+        kinds = [k for k in reversed(CONTROL_ORDER) if CONTROLS[k].flag == flag]
+        old = F.col(event)["subject"]["enrichment"][flag]
+        leaves[f"subject.enrichment.{flag}"] = F.coalesce(
+            *[as_flag(F.col(f"verdict_{k}")) for k in kinds], old)
+    return leaves

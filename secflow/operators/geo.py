@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.net import family, ip_bits, is_private_bits, network_key
+from secflow.schema import with_leaves
 
 ATTRIBUTES = ["city", "country", "org", "org_id"]
 
@@ -62,12 +63,16 @@ def lookup_ips(ips: DataFrame, cities: DataFrame, countries: DataFrame) -> DataF
     )
 
 
-def geo_lookup(df: DataFrame, ip_cols: list[str], cities: DataFrame, countries: DataFrame) -> DataFrame:
+def geo_lookup(df: DataFrame, ip_cols: list[str], cities: DataFrame, countries: DataFrame,
+               probe: DataFrame | None = None) -> DataFrame:
     """Add ``{col}_geo`` and ``{col}_local`` for every address column.
 
-    Only distinct addresses are looked up; the result is joined back per column.
+    Only distinct addresses are looked up; the result is joined back per column.  ``probe`` is a
+    frame with the same address columns to take them from: a job that has already joined
+    something to ``df`` passes its input here, so that those joins are not planned twice.
     """
-    ips = df.select(F.explode(F.array_distinct(F.array(*ip_cols))).alias("ip"))
+    source = df if probe is None else probe
+    ips = source.select(F.explode(F.array_distinct(F.array(*ip_cols))).alias("ip"))
     found = lookup_ips(ips, cities, countries)
     for name in ip_cols:
         side = found.select(
@@ -78,20 +83,32 @@ def geo_lookup(df: DataFrame, ip_cols: list[str], cities: DataFrame, countries:
     return df
 
 
+SIDES = ("source", "destination")
+
+
+def geo_columns(df: DataFrame, cities: DataFrame, countries: DataFrame, event: str = "event",
+                probe: DataFrame | None = None) -> DataFrame:
+    """Add ``{side}_ip_geo`` and ``{side}_ip_local`` for both ends of canonical events."""
+    names = {f"{side}_ip": F.col(f"{event}.{side}.ip") for side in SIDES}
+    source = (df if probe is None else probe).select(*[c.alias(n) for n, c in names.items()])
+    return geo_lookup(df.withColumns(names), list(names), cities, countries, source).drop(*names)
+
+
+def geo_leaves() -> dict[str, Column]:
+    """Event leaves filled from the columns of :func:`geo_columns`."""
+    leaves: dict[str, Column] = {}
+    for side in SIDES:
+        geo = F.col(f"{side}_ip_geo")
+        leaves |= {f"{side}.enrichment.geo.{a}": geo[a] for a in ("city", "country", "org")}
+        leaves[f"{side}.enrichment.network"] = geo["network"]
+        leaves[f"{side}.enrichment.isNetworkLocal"] = F.col(f"{side}_ip_local")
+    return leaves
+
+
+GEO_COLUMNS = [f"{side}_ip_{part}" for side in SIDES for part in ("geo", "local")]
+
+
 def enrich_geo(df: DataFrame, cities: DataFrame, countries: DataFrame, event: str = "event") -> DataFrame:
     """Fill the network enrichment of both endpoints of canonical events."""
-    sides = ("source", "destination")
-    df = df.withColumns({f"_{s}_ip": F.col(f"{event}.{s}.ip") for s in sides})
-    df = geo_lookup(df, [f"_{s}_ip" for s in sides], cities, countries)
-    filled: Column = F.col(event)
-    for s in sides:
-        geo = F.col(f"_{s}_ip_geo")
-        filled = (
-            filled.withField(f"{s}.enrichment.geo.city", geo["city"])
-            .withField(f"{s}.enrichment.geo.country", geo["country"])
-            .withField(f"{s}.enrichment.geo.org", geo["org"])
-            .withField(f"{s}.enrichment.network", geo["network"])
-            .withField(f"{s}.enrichment.isNetworkLocal", F.col(f"_{s}_ip_local"))
-        )
-    helpers = [f"_{s}_ip{suffix}" for s in sides for suffix in ("", "_geo", "_local")]
-    return df.withColumn(event, filled).drop(*helpers)
+    found = geo_columns(df, cities, countries, event)
+    return with_leaves(found, event, geo_leaves()).drop(*GEO_COLUMNS)

@@ -120,14 +120,16 @@ def match_candidates(events: DataFrame, rules: DataFrame, layers: Layers,
 def match_rules(
     events: DataFrame, rules: DataFrame, layers: Layers, payload: list[str],
     eligible: Column | None = None, compat_zero_is_any: bool = True,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``rule``: the winning rule (struct of ``rule_id`` and ``payload``) or NULL.
 
     In a range layer a wildcard is probed as the point 0, so with ``compat_zero_is_any`` a range
-    that starts at 0 also fits every other point, with the rank of a wildcard.
+    that starts at 0 also fits every other point, with the rank of a wildcard.  ``probe`` is a
+    frame with the same event column to take the key tuples from (see ``geo_lookup``).
     """
     wanted = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
-    found = match_candidates(events.where(wanted), rules, layers, payload)
+    found = match_candidates((events if probe is None else probe).where(wanted), rules, layers, payload)
     columns = _event_columns(layers)
     keyed = events.withColumns(columns).withColumn(
         "_tuple", F.when(wanted, _tuple_key(list(columns)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.dates import epoch_date, second_of_day
+from secflow.schema import with_leaves
 
 DAY = 86400
 DAY_MINUTES = 1440
@@ -81,10 +82,10 @@ def schedules_by_group(schedules: DataFrame) -> DataFrame:
     return schedules.groupBy("group_id").agg(F.collect_list(interval).alias("schedule"))
 
 
-def schedule_flags(
+def schedule_columns(
     df: DataFrame, logins: DataFrame, schedules: DataFrame, holidays: DataFrame, event: str = "event"
 ) -> DataFrame:
-    """Set ``isTimeAllowed`` and ``isWorkingDay`` of account subjects seen on Windows sources.
+    """Add ``time_allowed`` and ``working_day`` of account subjects seen on Windows sources.
 
     Subjects without a login entry stay unflagged; a group without schedule allows nothing.
     """
@@ -116,11 +117,26 @@ def schedule_flags(
     working = F.exists("_schedule", lambda s: is_working_day(
         date, F.col("_start"), s["days_work"], s["days_weekend"], s["is_calendar"], days))
 
-    def flag(value: Column, old: Column) -> Column:
-        return F.when(F.col("_known"), F.coalesce(value, F.lit(False))).otherwise(old)
+    def flag(value: Column) -> Column:
+        return F.when(F.col("_known"), F.coalesce(value, F.lit(False)))
+
+    return joined.withColumns(
+        {"time_allowed": flag(time_allowed), "working_day": flag(working)}
+    ).drop("_holidays", *staff.columns)
+
+
+def schedule_leaves(event: str = "event") -> dict[str, Column]:
+    """Event leaves filled from the columns of :func:`schedule_columns`; no answer keeps the old ones."""
+    old = F.col(event)["subject"]["enrichment"]
+    return {
+        "subject.enrichment.isTimeAllowed": F.coalesce("time_allowed", old["isTimeAllowed"]),
+        "subject.enrichment.isWorkingDay": F.coalesce("working_day", old["isWorkingDay"]),
+    }
 
-    old = e["subject"]["enrichment"]
-    filled = e.withField(
-        "subject.enrichment.isTimeAllowed", flag(time_allowed, old["isTimeAllowed"])
-    ).withField("subject.enrichment.isWorkingDay", flag(working, old["isWorkingDay"]))
-    return joined.withColumn(event, filled).drop("_holidays", *staff.columns)
+
+def schedule_flags(
+    df: DataFrame, logins: DataFrame, schedules: DataFrame, holidays: DataFrame, event: str = "event"
+) -> DataFrame:
+    """Set ``isTimeAllowed`` and ``isWorkingDay`` inside the event."""
+    found = schedule_columns(df, logins, schedules, holidays, event)
+    return with_leaves(found, event, schedule_leaves(event)).drop("time_allowed", "working_day")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from secflow.operators.controls import CONTROL_ORDER, apply_verdict, control
-from secflow.operators.geo import enrich_geo
-from secflow.operators.schedule import schedule_flags
+from secflow.operators.controls import CONTROL_ORDER, control, verdict_leaves
+from secflow.operators.geo import GEO_COLUMNS, geo_columns, geo_leaves
+from secflow.operators.schedule import schedule_columns, schedule_leaves
+from secflow.schema import with_leaves
 
 
 def enrich_job(
@@ -15,11 +16,15 @@ def enrich_job(
 ) -> DataFrame:
     """Enrich the ``event`` column.
 
-    The schedule flags and the verdicts touch different fields, so only the order among the
-    verdicts matters: connection, logon, VPN all write the same flag.
+    Every lookup takes its keys from ``events`` itself and not from the frame enriched so far:
+    none depends on another's result, and the plan stays linear in the number of lookups.  All
+    results are written into the event at the end, in one step.
     """
-    df = enrich_geo(events, cities, countries, event)
-    df = schedule_flags(df, logins, schedules, holidays, event)
+    df = geo_columns(events, cities, countries, event, probe=events)
+    df = schedule_columns(df, logins, schedules, holidays, event)
     for kind in CONTROL_ORDER:
-        df = apply_verdict(control(df, rules, kind, holidays, event), kind, event)
-    return df
+        df = control(df, rules, kind, holidays, event, probe=events,
+                     verdict_col=f"verdict_{kind}", rule_col=f"rule_{kind}")
+    leaves = {**geo_leaves(), **schedule_leaves(event), **verdict_leaves(event)}
+    helpers = [f"{part}_{kind}" for kind in CONTROL_ORDER for part in ("verdict", "rule")]
+    return with_leaves(df, event, leaves).drop(*GEO_COLUMNS, "time_allowed", "working_day", *helpers)

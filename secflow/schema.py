@@ -5,7 +5,7 @@ Absent values are NULL; times are UTC epoch seconds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,3 +104,29 @@ def build(schema: T.StructType, values: dict[str, Column]) -> Column:
         return F.struct(*columns)
 
     return struct(schema, "")
+
+
+def with_leaves(df: DataFrame, column: str, values: dict[str, Column]) -> DataFrame:
+    """Replace leaves of a struct column, building absent parents.
+
+    The struct is rebuilt field by field: chains of ``withField`` on nested paths repeat their
+    base at every level and grow exponentially.
+    """
+
+    def rebuilt(part: T.StructType, base: Column, prefix: str) -> Column:
+        columns = []
+        for field in part.fields:
+            name = prefix + field.name
+            if name in values:
+                column = values[name].cast(field.dataType)
+            elif isinstance(field.dataType, T.StructType) and any(
+                v.startswith(name + ".") for v in values
+            ):
+                column = rebuilt(field.dataType, base[field.name], name + ".")
+            else:
+                column = base[field.name]
+            columns.append(column.alias(field.name))
+        return F.struct(*columns)
+
+    schema = df.schema[column].dataType
+    return df.withColumn(column, rebuilt(schema, F.col(column), ""))
