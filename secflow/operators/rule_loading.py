@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow.operators.dims import Dims
+from secflow.session import cut
 
 HOUR = 3600
 BUCKETS = 64
@@ -36,19 +37,25 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def resolve(existing: DataFrame, wanted: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Ids of the wanted natural keys (NULL equals NULL), and the rows that had to be created.
+def resolve(existing: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The wanted natural keys (NULL equals NULL) with ``id`` and ``created``.
 
-    Of several existing rows with one key the least id is taken.
+    Of several existing rows with one key the least id is taken; missing keys get new ids.  The
+    result is checkpointed: every later step refers to it, and plans would otherwise double.
     """
     wanted = wanted.dropDuplicates(keys)
-    known = existing.groupBy(*keys).agg(F.min("id").alias("id"))
-    found = wanted.join(known, same(wanted, known, keys), "inner").select(
-        *[wanted[k] for k in keys], known["id"])
-    missing = wanted.join(known, same(wanted, known, keys), "left_anti")
+    known = existing.groupBy(*keys).agg(F.min("id").alias("_id"))
+    looked_up = wanted.join(known, same(wanted, known, keys), "left").select(
+        *[wanted[c] for c in wanted.columns], known["_id"])
     newest = F.coalesce(existing.agg(F.max("id")).scalar(), F.lit(0))
-    created = number_rows(missing, keys, newest)
-    return found.unionByName(created.select(*keys, "id")), created
+    found = looked_up.where(F.col("_id").isNotNull()).withColumnRenamed("_id", "id")
+    new = number_rows(looked_up.where(F.col("_id").isNull()).drop("_id"), keys, newest)
+    return cut(found.withColumn("created", F.lit(False)).unionByName(
+        new.withColumn("created", F.lit(True))))
+
+
+def new_rows(resolved: DataFrame) -> DataFrame:
+    return resolved.where("created")
 
 
 def _with_id(df: DataFrame, ids: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -78,7 +85,8 @@ def _schedules(lines: DataFrame, dims: Dims) -> tuple[DataFrame, dict[str, DataF
     existing = dims["schedule"].select(*SCHEDULE_KEY, F.col("group_id").alias("id"))
     newest = dims["schedule_groups"].select(
         *[F.lit(None).cast("int").alias(k) for k in SCHEDULE_KEY], "id")
-    ids, created = resolve(existing.unionByName(newest), lines.select(*SCHEDULE_KEY), SCHEDULE_KEY)
+    ids = resolve(existing.unionByName(newest), lines.select(*SCHEDULE_KEY), SCHEDULE_KEY)
+    created = new_rows(ids)
     return ids, {
         "schedule_groups": created.select(
             "id", F.concat(F.col("id").cast("string"), F.lit("-group")).alias("group_name")),
@@ -92,23 +100,24 @@ def _rules(wanted: DataFrame, dims: Dims) -> DataFrame:
         (F.col(k) if k in wanted.columns else F.lit(None)).cast(dims["rules"].schema[k].dataType)
         .alias(k) for k in RULE_KEY
     ])
-    return resolve(dims["rules"].select(*RULE_KEY, "id"), complete, RULE_KEY)[1]
+    resolved = resolve(dims["rules"].select(*RULE_KEY, "id"), complete, RULE_KEY)
+    return new_rows(resolved).drop("created")
 
 
 def _common(lines: DataFrame, dims: Dims, now: Column) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Organizations, hosts, schedules and subjects of logon and object rules."""
     created: dict[str, DataFrame] = {}
-    orgs, new = resolve(
+    orgs = resolve(
         dims["organizations"].select("short_name", "id"),
         lines.select(F.col("org").alias("short_name")), ["short_name"])
-    created["organizations"] = new.select(
+    created["organizations"] = new_rows(orgs).select(
         "id", "short_name", F.col("short_name").alias("name"), now.alias("active_from"),
         F.lit(None).cast("timestamp").alias("active_to"))
     lines = _with_id(lines, orgs.select(F.col("short_name").alias("org"), "id"), ["org"], "org_id")
 
     host_key = ["org_id", "host_name", "host_ip"]
-    hosts, new = resolve(dims["hosts"].select(*host_key, "id"), lines.select(*host_key), host_key)
-    created["hosts"] = new.select("id", *host_key, now.alias("added"))
+    hosts = resolve(dims["hosts"].select(*host_key, "id"), lines.select(*host_key), host_key)
+    created["hosts"] = new_rows(hosts).select("id", *host_key, now.alias("added"))
     lines = _with_id(lines, hosts, host_key, "host_id")
 
     lines = schedule_of_hours(lines)
@@ -119,8 +128,8 @@ def _common(lines: DataFrame, dims: Dims, now: Column) -> tuple[DataFrame, dict[
     # A subject created for several schedules gets the least group id.
     subject_key = ["org_id", "login", "user_domain"]
     wanted = lines.groupBy(*subject_key).agg(F.min("schedule_id").alias("group_id"))
-    subjects, new = resolve(dims["subject"].select(*subject_key, "id"), wanted, subject_key)
-    created["subject"] = new.select(
+    subjects = resolve(dims["subject"].select(*subject_key, "id"), wanted, subject_key)
+    created["subject"] = new_rows(subjects).select(
         "id", *subject_key, "group_id", F.lit(True).alias("monitored"), now.alias("start_work"))
     return _with_id(lines, subjects, subject_key, "subject_id"), created
 
@@ -165,9 +174,9 @@ def load_object_rules(csv: DataFrame, dims: Dims, now: Column | None = None) ->
     )
     lines, created = _common(lines, dims, F.current_timestamp() if now is None else now)
     object_key = ["obj_type", "obj_path", "obj_name"]
-    objects, new = resolve(dims["objects"].select(*object_key, "id"), lines.select(*object_key),
+    objects = resolve(dims["objects"].select(*object_key, "id"), lines.select(*object_key),
                            object_key)
-    created["objects"] = new.select("id", *object_key, F.lit(None).cast("int").alias("port"))
+    created["objects"] = new_rows(objects).select("id", *object_key, F.lit(None).cast("int").alias("port"))
     lines = _with_id(lines, objects, object_key, "object_id")
     wanted = lines.select(
         F.col("subject_id").alias("subject"), F.col("host_id").alias("source"),
@@ -217,20 +226,20 @@ def load_connection_rules(csv: DataFrame, dims: Dims, now: Column | None = None)
         cell("target_port_allowed", "target_host_port").cast("int").alias("dst_port"),
     )
     created: dict[str, DataFrame] = {}
-    orgs, new = resolve(
+    orgs = resolve(
         dims["organizations"].select("short_name", "id"),
         lines.select(F.col("org").alias("short_name")), ["short_name"])
-    created["organizations"] = new.select(
+    created["organizations"] = new_rows(orgs).select(
         "id", "short_name", F.col("short_name").alias("name"), at.alias("active_from"),
         F.lit(None).cast("timestamp").alias("active_to"))
     lines = _with_id(lines, orgs.select(F.col("short_name").alias("org"), "id"), ["org"], "org_id")
 
     host_key = ["org_id", "host_name", "host_ip"]
     ips = lines.select("org_id", F.explode(F.array_compact(F.array("src", "dst"))).alias("host_ip"))
-    hosts, new = resolve(
+    hosts = resolve(
         dims["hosts"].select(*host_key, "id"),
         ips.withColumn("host_name", F.lit(None).cast("string")), host_key)
-    created["hosts"] = new.select("id", *host_key, at.alias("added"))
+    created["hosts"] = new_rows(hosts).select("id", *host_key, at.alias("added"))
 
     whole_day = lines.select(
         F.lit(0).alias("from_hour"), F.lit(0).alias("to_hour"), F.lit(True).alias("weekend")
@@ -243,14 +252,14 @@ def load_connection_rules(csv: DataFrame, dims: Dims, now: Column | None = None)
     nothing = F.lit(None).cast("string")
     protocols = lines.where(F.col("proto").isNotNull()).select(
         F.lit("protocol").alias("obj_type"), nothing.alias("obj_path"), F.col("proto").alias("obj_name"))
-    objects, new = resolve(dims["objects"].select(*object_key, "id"), protocols, object_key)
-    created["objects"] = new.select("id", *object_key, F.lit(None).cast("int").alias("port"))
+    objects = resolve(dims["objects"].select(*object_key, "id"), protocols, object_key)
+    created["objects"] = new_rows(objects).select("id", *object_key, F.lit(None).cast("int").alias("port"))
 
     subject_key = ["org_id", "login", "user_domain"]
-    subjects, new = resolve(
+    subjects = resolve(
         dims["subject"].select(*subject_key, "id"),
         lines.select("org_id", nothing.alias("login"), nothing.alias("user_domain")), subject_key)
-    created["subject"] = new.select(
+    created["subject"] = new_rows(subjects).select(
         "id", *subject_key, group.alias("group_id"), F.lit(True).alias("monitored"),
         at.alias("start_work"))
 

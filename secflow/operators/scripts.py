@@ -7,13 +7,18 @@ A script is the body of a function without arguments.  It sees the event as the
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The helpers below travel with the task, so executors need nothing installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def lens(path: str):
     """Accessor of a dotted path: read, ``value=`` write, or ``andThen=`` apply to what is there."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -31,3 +31,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     return tempfile.mkdtemp(prefix="secflow-ckpt-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialize a frame that several later steps refer to, in the reliable checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+    return df.checkpoint()
