@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that mean "no value" in device logs.
@@ -30,6 +30,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    Plain projections may be copied into every later filter and expression that mentions them, so
+    a parsed document would be parsed again for each of its fields.  The output of a generator is
+    never copied; one over a single-element array adds no rows.
+    """
+    for name, column in columns.items():
+        df = df.select("*", F.explode(F.array(column)).alias(name))
+    return df
+
+
 def means_null(value: Column) -> Column:
     return F.lower(value).isin(NULL_SYNONYMS)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.dates import iso_epoch
+from secflow.functions.text import once
 from secflow.schema import HOP_DDL
 
 ENVELOPE = (
@@ -25,8 +28,8 @@ def hops(chain: Column) -> Column:
     return F.transform_values(texts, lambda _, v: F.from_json(v, HOP_DDL))
 
 
-def _payload(df: DataFrame, value: Column, field: str) -> tuple[Column, Column]:
-    """Kind and text of a payload that may be a JSON string or a JSON object.
+def _payload(value: Column, field: str) -> tuple[Column, Callable[[Column], Column]]:
+    """Kind of a payload that may be a JSON string or a JSON object, and its text given the kind.
 
     Object text comes from the original document, so that its key order survives.
     """
@@ -36,9 +39,12 @@ def _payload(df: DataFrame, value: Column, field: str) -> tuple[Column, Column]:
     ).when(F.startswith(F.to_json(variant), F.lit('"')), "string").when(
         variant.isNotNull() & ~F.is_variant_null(variant), "other"
     )
-    text = F.when(kind == "object", F.get_json_object(value, f"$.{field}")).when(
-        kind == "string", F.try_variant_get(variant, "$", "string")
-    )
+
+    def text(known: Column) -> Column:
+        return F.when(known == "object", F.get_json_object(value, f"$.{field}")).when(
+            known == "string", F.try_variant_get(variant, "$", "string")
+        )
+
     return kind, text
 
 
@@ -52,15 +58,14 @@ def parse_envelope(df: DataFrame, col: str = "value", kind: str = "full") -> Dat
     if kind == "reassembly":
         return _parse_reassembly(df, col)
     value = F.col(col)
-    df = df.withColumn("_env", F.from_json(value, ENVELOPE))
-    raw_kind, raw = _payload(df, value, "raw")
-    df = df.withColumn("raw_kind", raw_kind).withColumn("raw", raw).withColumn(
-        "_first_hop",
-        F.get(
-            F.filter(F.map_values(hops(F.col("_env.chain"))), lambda h: h["number"] == 1), F.lit(0)
-        ),
+    df = once(df, _env=F.from_json(value, ENVELOPE))
+    raw_kind, raw = _payload(value, "raw")
+    first_hop = F.get(
+        F.filter(F.map_values(hops(F.col("_env.chain"))), lambda h: h["number"] == 1), F.lit(0)
     )
+    df = once(df, raw_kind=raw_kind, _first_hop=first_hop)
     df = df.withColumns({
+        "raw": raw(F.col("raw_kind")),
         "received": iso_epoch(F.col("_env.EventReceivedTime")),
         "organization": F.col("_env.Organization"),
         "dev_type": F.col("_env.DevType"),
@@ -94,14 +99,14 @@ def parse_envelope(df: DataFrame, col: str = "value", kind: str = "full") -> Dat
 
 def _parse_reassembly(df: DataFrame, col: str) -> DataFrame:
     value = F.col(col)
-    df = df.withColumn("_env", F.from_json(value, REASSEMBLY_ENVELOPE))
-    raw_kind, raw = _payload(df, value, "raw")
-    message_kind, message = _payload(df, value, "Message")
+    df = once(df, _env=F.from_json(value, REASSEMBLY_ENVELOPE))
+    raw_kind, raw = _payload(value, "raw")
+    message_kind, message = _payload(value, "Message")
     # Message stands in only where raw is absent altogether.
-    kind = F.coalesce(raw_kind, message_kind)
-    df = df.withColumn("raw_kind", kind).withColumn(
-        "raw", F.when(raw_kind.isNotNull(), raw).otherwise(message)
-    )
+    df = once(df, _raw_kind=raw_kind)
+    df = once(df, raw_kind=F.coalesce(F.col("_raw_kind"), message_kind))
+    kind = F.col("raw_kind")
+    df = once(df, raw=F.when(F.col("_raw_kind").isNotNull(), raw(kind)).otherwise(message(kind)))
     names = ["EventReceivedTime", "chain", "MessageSourceAddress", "EventTime", "Hostname",
              "SourceName", "DevCat", "DevSubCat", "DevType", "Organization", "OrgID"]
     df = df.withColumns({n: F.col(f"_env.{n}") for n in names})
@@ -111,14 +116,14 @@ def _parse_reassembly(df: DataFrame, col: str) -> DataFrame:
         *[(f"{n} is missing", F.col(n).isNotNull()) for n in names if n != "chain"],
         ("raw is neither text nor object", F.col("raw_kind").isin("string", "object")),
     ]
-    return df.withColumn("envelope_error", _first_error(checks)).drop("_env")
+    return df.withColumn("envelope_error", _first_error(checks)).drop("_env", "_raw_kind")
 
 
 def parse_route_key(df: DataFrame, col: str = "value") -> DataFrame:
     """Device type and organization only; ``malformed`` marks rows without both."""
     env = F.from_json(F.col(col), "DevType STRING, Organization STRING")
     return (
-        df.withColumn("_env", env)
+        once(df, _env=env)
         .withColumn("dev_type", F.col("_env.DevType"))
         .withColumn("organization", F.col("_env.Organization"))
         .withColumn("malformed", F.col("dev_type").isNull() | F.col("organization").isNull())

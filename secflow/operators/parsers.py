@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.grok import parse_grok
-from secflow.functions.text import clean_map, last_wins_map, let
+from secflow.functions.text import clean_map, last_wins_map, let, once
 
 # Firewall message ids that have a pattern of their own.
 ASA_IDS = [
@@ -220,17 +220,14 @@ def parse_logs(
         else:
             fields = fields.when(here, parser(F.col("raw")))
     error = error.when(F.col("parser_name").isNotNull() & ~known, F.lit("parser is not known"))
-    df = df.withColumn("_all", multi).withColumn("_fields", fields)
-    return (
-        df.withColumn("fields", F.coalesce(F.col("_fields"), single_values(F.col("_all"))))
-        .withColumn("multi", repeated_values(F.col("_all")))
-        .withColumn("parse_error", error)
-        .withColumn(
-            "parse_error",
-            F.when(
-                F.col("parse_error").isNull() & F.col("parser_name").isNotNull()
-                & F.col("fields").isNull(), F.lit("payload is not readable"),
-            ).otherwise(F.col("parse_error")),
-        )
-        .drop("_all", "_fields")
-    )
+    if MULTI_VALUED in chosen:
+        df = once(df, _all=multi, _fields=fields)
+        df = df.withColumns({
+            "fields": F.coalesce(F.col("_fields"), single_values(F.col("_all"))),
+            "multi": repeated_values(F.col("_all")),
+        }).drop("_all", "_fields")
+    else:
+        df = once(df, fields=fields).withColumn("multi", multi)
+    unreadable = F.when(
+        F.col("parser_name").isNotNull() & F.col("fields").isNull(), "payload is not readable")
+    return df.withColumn("parse_error", F.coalesce(error, unreadable))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.grok import grok_values
+from secflow.functions.text import once
 from secflow.operators.envelope import parse_envelope
 
 # Device type and severity of a reassembled record.
@@ -17,12 +18,14 @@ FIRST = ["EventReceivedTime", "chain", "EventTime", "Hostname", "SourceName", "D
 
 def audit_key(df: DataFrame) -> DataFrame:
     """Add ``audit_time`` (timestamp) and ``audit_id`` from the audit header; NULL without one."""
-    values, _ = grok_values(F.col("raw"), "%{REASSEMBLY_HEADER}")
+    header, _ = grok_values(F.col("raw"), "%{REASSEMBLY_HEADER}")
+    df = once(df, _header=header)
+    values = F.col("_header")
     seconds = F.get(values, F.lit(0)).try_cast("decimal(20,6)")
     return df.withColumns({
         "audit_time": F.timestamp_seconds(F.floor(seconds).cast("bigint")),
         "audit_id": F.get(values, F.lit(1)),
-    })
+    }).drop("_header")
 
 
 def dead_letters(values: DataFrame) -> DataFrame:

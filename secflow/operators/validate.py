@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.dates import ANTIVIRUS_FORMAT, FAIL2BAN_FORMAT, format_epoch
 from secflow.functions.net import is_hostname, is_ip
+from secflow.functions.text import once
 from secflow.operators.parsers import ASA_IDS, IOS_PATTERN_OF
 
 
@@ -227,7 +228,7 @@ VALIDATORS: dict[tuple[str, int], Callable[[], Checks]] = {
 def validate_envelope(df: DataFrame) -> DataFrame:
     """Add ``envelope_reasons``; a row whose envelope was not readable has none."""
     reasons = F.when(F.col("envelope_error").isNull(), failed_messages(envelope_checks()))
-    return df.withColumn("envelope_reasons", reasons)
+    return once(df, envelope_reasons=reasons)
 
 
 def validate(df: DataFrame, validators: Iterable[tuple[str, int]] | None = None) -> DataFrame:
@@ -238,7 +239,7 @@ def validate(df: DataFrame, validators: Iterable[tuple[str, int]] | None = None)
         here = (F.col("validator_name") == name) & (F.col("validator_version") == version)
         reasons = reasons.when(here & F.col("fields").isNotNull(),
                                failed_messages(VALIDATORS[(name, version)]()))
-    return df.withColumn("reasons", reasons)
+    return once(df, reasons=reasons)
 
 
 def joined(reasons: Column) -> Column:
