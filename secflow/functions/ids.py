@@ -7,9 +7,10 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _ripemd160(text: pd.Series) -> pd.Series:
     return text.map(
         lambda t: None if t is None else hashlib.new("ripemd160", t.encode("utf-8")).hexdigest()

@@ -9,57 +9,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOCATION = "fqdn STRING, host STRING, hostname STRING, ip STRING"
-ENDPOINT = (
-    LOCATION + ", nat STRUCT<hostname: STRING, ip: STRING, port: INT>, mac STRING, port INT, "
-    "enrichment STRUCT<geo: STRUCT<city: STRING, country: STRING, org: STRING>, "
-    "network: STRING, isNetworkLocal: BOOLEAN>"
-)
-COLLECTOR = f"location STRUCT<{LOCATION}>, inputId STRING, organization STRING"
-
-# Names and types of the canonical event.
-EVENT_DDL = f"""
-id STRING, eventTime BIGINT, category STRING, normalizerVersion INT,
-eventSource STRUCT<location STRUCT<{LOCATION}>, category STRING, id STRING, subsys STRING,
-    title STRING, vendor STRING>,
-source STRUCT<{ENDPOINT}>,
-destination STRUCT<{ENDPOINT}>,
-interaction STRUCT<action STRING, direction STRING, duration INT, importance STRING, logonType INT,
-    protocol STRING, reason STRING, startTime BIGINT, status STRING>,
-subject STRUCT<category STRING, domain STRING, `group` STRING, id STRING, name STRING,
-    privileges ARRAY<STRING>, version STRING,
-    enrichment STRUCT<isWorkingDay BOOLEAN, isTimeAllowed BOOLEAN,
-        isHostAccessTimeAllowed BOOLEAN, isObjectAccessAllowed BOOLEAN>>,
-object STRUCT<category STRING, domain STRING, `group` STRING, id STRING, name STRING, path STRING,
-    property STRING, state STRING, value STRING, vendor STRING, version STRING>,
-collector STRUCT<{COLLECTOR}>,
-correlation STRUCT<eventIds ARRAY<STRING>, count INT, name STRING>,
-data STRUCT<bytesTotal BIGINT, bytesIn BIGINT, bytesOut BIGINT, packetsTotal BIGINT,
-    packetsIn BIGINT, packetsOut BIGINT, aux1 STRING, aux2 STRING, aux3 STRING, aux4 STRING,
-    aux5 STRING, aux6 STRING, aux7 STRING, aux8 STRING, aux9 STRING, aux10 STRING,
-    `interface` STRING, msgId STRING, originTime BIGINT, recvFile ARRAY<STRING>,
-    tcpFlag ARRAY<STRING>, time BIGINT, rawIds ARRAY<STRING>>
-"""
-RAW_DDL = f"""
-id STRING, raw STRING, preparsedMessage STRING, collector STRUCT<{COLLECTOR}>, eventTime BIGINT,
-devType STRING, eventSource STRUCT<{LOCATION}>, severityId INT, severity STRING, normalizedId STRING
-"""
-CHAIN_DDL = f"""
-rawId STRING, normalizedId STRING, chain STRING, collector STRUCT<{COLLECTOR}>, eventTime BIGINT
-"""
-INVALID_DDL = f"rawId STRING, reason STRING, collector STRUCT<{COLLECTOR}>"
-ERROR_DDL = f"id STRING, raw STRING, stacktrace STRING, collector STRUCT<{COLLECTOR}>"
+STRING, INT, LONG, BOOL = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType()
+STRINGS = T.ArrayType(STRING)
 
 
-def schema_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl.replace("\n", " "))
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-EVENT = schema_of(EVENT_DDL)
-RAW_EVENT = schema_of(RAW_DDL)
-CHAIN_EVENT = schema_of(CHAIN_DDL)
-INVALID_EVENT = schema_of(INVALID_DDL)
-ERROR_EVENT = schema_of(ERROR_DDL)
+def strings(names: str) -> dict[str, T.DataType]:
+    return {name: STRING for name in names.split()}
+
+
+# Names and types of the canonical event and of the side records.
+LOCATION = strings("fqdn host hostname ip")
+COLLECTOR = struct(location=struct(**LOCATION), inputId=STRING, organization=STRING)
+ENDPOINT = struct(
+    **LOCATION, nat=struct(hostname=STRING, ip=STRING, port=INT), mac=STRING, port=INT,
+    enrichment=struct(
+        geo=struct(**strings("city country org")), network=STRING, isNetworkLocal=BOOL),
+)
+EVENT = struct(
+    id=STRING, eventTime=LONG, category=STRING, normalizerVersion=INT,
+    eventSource=struct(location=struct(**LOCATION), **strings("category id subsys title vendor")),
+    source=ENDPOINT,
+    destination=ENDPOINT,
+    interaction=struct(
+        action=STRING, direction=STRING, duration=INT, importance=STRING, logonType=INT,
+        protocol=STRING, reason=STRING, startTime=LONG, status=STRING),
+    subject=struct(
+        **strings("category domain group id name"), privileges=STRINGS, version=STRING,
+        enrichment=struct(isWorkingDay=BOOL, isTimeAllowed=BOOL, isHostAccessTimeAllowed=BOOL,
+                          isObjectAccessAllowed=BOOL)),
+    object=struct(**strings("category domain group id name path property state value vendor version")),
+    collector=COLLECTOR,
+    correlation=struct(eventIds=STRINGS, count=INT, name=STRING),
+    data=struct(
+        bytesTotal=LONG, bytesIn=LONG, bytesOut=LONG, packetsTotal=LONG, packetsIn=LONG,
+        packetsOut=LONG, **{f"aux{n}": STRING for n in range(1, 11)}, interface=STRING, msgId=STRING,
+        originTime=LONG, recvFile=STRINGS, tcpFlag=STRINGS, time=LONG, rawIds=STRINGS),
+)
+RAW_EVENT = struct(
+    id=STRING, raw=STRING, preparsedMessage=STRING, collector=COLLECTOR, eventTime=LONG,
+    devType=STRING, eventSource=struct(**LOCATION), severityId=INT, severity=STRING,
+    normalizedId=STRING)
+CHAIN_EVENT = struct(rawId=STRING, normalizedId=STRING, chain=STRING, collector=COLLECTOR, eventTime=LONG)
+INVALID_EVENT = struct(rawId=STRING, reason=STRING, collector=COLLECTOR)
+ERROR_EVENT = struct(id=STRING, raw=STRING, stacktrace=STRING, collector=COLLECTOR)
 
 HOP_DDL = "modname STRING, modtype STRING, number INT, fqdn STRING, ip STRING, rt BIGINT"
 
@@ -88,14 +84,14 @@ def build(schema: T.StructType, values: dict[str, Column]) -> Column:
             absent[name] = F.expr(f"cast(null as {name})")
         return absent[name]
 
-    def struct(part: T.StructType, prefix: str) -> Column:
+    def nested(part: T.StructType, prefix: str) -> Column:
         if not any(name.startswith(prefix) for name in values):
             return null(part)
         columns = []
         for field in part.fields:
             name = prefix + field.name
             if isinstance(field.dataType, T.StructType):
-                column = struct(field.dataType, name + ".")
+                column = nested(field.dataType, name + ".")
             elif name in values:
                 column = values[name].cast(field.dataType)
             else:
@@ -103,7 +99,7 @@ def build(schema: T.StructType, values: dict[str, Column]) -> Column:
             columns.append(column.alias(field.name))
         return F.struct(*columns)
 
-    return struct(schema, "")
+    return nested(schema, "")
 
 
 def with_leaves(df: DataFrame, column: str, values: dict[str, Column]) -> DataFrame:
