@@ -9,6 +9,7 @@ from secflow import configure
 from secflow.operators.dims import preferences, vendors
 from secflow.plans.normalize import PIPELINES, parsed_and_validated
 from secflow.schema import EVENT, build
+from secflow.session import spread
 
 E_SQL = """
 e AS (
@@ -28,7 +29,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         "event_id", "user_id", "event_type", F.unix_seconds(ts).alias("epoch"),
         F.unix_micros(ts).alias("micros"),
         F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),

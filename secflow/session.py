@@ -18,9 +18,22 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # HotSpot never compiles methods above 8000 bytes; beyond that, operators are generated one
+    # by one with small methods instead of as one fused method that would run interpreted.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer partitions than there are cores.
+
+    A few small files would otherwise be parsed by a few tasks; an input with enough partitions
+    is left alone, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; a temporary one only in local tests."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
