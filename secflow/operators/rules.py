@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.text import ANY, path_segments
 from secflow.operators.schedule import within
+from secflow.session import small_side
 
 MARK = "\x01"
 ABSENT = "\x02"
@@ -96,6 +97,13 @@ def _probes(tuples: DataFrame, layers: Layers) -> DataFrame:
     return out.drop("_c")
 
 
+def wildcard_mask(layers: Layers) -> Column:
+    """One digit per exact layer: 1 where the key is the wildcard."""
+    return F.concat(*[
+        F.when(F.col(f"k_{layer.name}") == ANY, "1").otherwise("0") for layer in layers.exact
+    ])
+
+
 def match_candidates(events: DataFrame, rules: DataFrame, layers: Layers,
                      payload: list[str]) -> DataFrame:
     """(tuple key) -> rules whose exact and path layers fit, with their ranks."""
@@ -106,9 +114,12 @@ def match_candidates(events: DataFrame, rules: DataFrame, layers: Layers,
     keys = [f"k_{layer.name}" for layer in layers.exact]
     ranks = [f"r_{layer.name}" for layer in layers.exact]
     kept = ["_tuple", *ranks] + (["e_path"] if layers.event_path is not None else [])
-    hits = _probes(tuples, layers).select(*kept, *keys).join(
-        keyed_rules(rules, layers, payload), keys
-    )
+    by_key = keyed_rules(rules, layers, payload)
+    # Only the combinations of wildcards that some rule has are worth probing.
+    masks = by_key.agg(F.collect_set(wildcard_mask(layers))).scalar()
+    probes = _probes(tuples, layers).select(*kept, *keys).where(
+        F.array_contains(masks, wildcard_mask(layers)))
+    hits = probes.join(small_side(by_key), keys)
     if layers.event_path is not None:
         hits = hits.join(path_matches(tuples, rules, layers.rule_path), ["e_path", "rule_id"])
         ranks = [*ranks, "r_path"]
@@ -236,6 +247,6 @@ def path_matches(tuples: DataFrame, rules: DataFrame, rule_path: Column) -> Data
         F.explode(F.transform(fitting, key)).alias("_p"),
     ).select("e_path", "_size", "_p.node", "_p.r_path")
     fits = (F.col("depth") == F.col("_size")) | F.col("leaf")
-    return probes.join(nodes, "node").where(fits).groupBy("e_path", "rule_id").agg(
+    return probes.join(small_side(nodes), "node").where(fits).groupBy("e_path", "rule_id").agg(
         F.min("r_path").alias("r_path")
     )

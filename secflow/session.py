@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -34,6 +35,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a dimension for broadcast once a bounded count has proved it small enough.
+
+    Catalyst overestimates dimensions that are joins themselves, so it would shuffle the big side
+    for them.  Above the bound the frame is returned as it is and the join shuffles.  This runs a
+    count over at most ``max_rows + 1`` rows when the plan is built.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; a temporary one only in local tests."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
