@@ -6,18 +6,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from secflow.llm import suffix_dedup
+import corpus_pipeline
+from secflow.llm import language, merkle, packing, pii, simhash, suffix_dedup
 from secflow.llm.common import table
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of 4-word shingles and components at 4 or fewer differing bits."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), words=4, max_bits=4)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document; four fifths of the labelled documents train."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    told = language.learn_and_identify(docs)
+    return told.select("doc_id", "held_out", "language.lang_pred", "language.score", "language.languages")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each document that are left after all earlier 100-byte strings have gone."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.digest(suffix_dedup.repeated_spans(docs))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each text and of its edited text, and how alike they and the next text's are."""
+    return merkle.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digest(pii.with_spans(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash": op3_simhash,
+    "op4_language": op4_language,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_packing": op7_packing,
+    "op8_merkle": op8_merkle,
+    "op10_pii": op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {}

@@ -217,12 +217,13 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tupl
 
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), length: int = LENGTH,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES, as_text: bool = False,
 ) -> DataFrame:
     """One row for each document: what repeats earlier text, and what is left.
 
     Columns: ``doc_id``, ``n_bytes``, ``spans`` (maximal removed runs as structs of byte offsets ``start`` and
     ``stop``), ``kept`` (the remaining bytes), and those of ``keep`` in the struct ``row``, so that no name clashes.
+    With ``as_text``, ``kept`` is a string, without the bytes of characters that a cut has split.
 
     A null text counts as empty, a null id as the largest. Rows of equal id are ordered by their bytes, so of two
     equal rows the second is the repeat. Texts shorter than ``length`` bytes stay whole. An empty table gives none.
@@ -279,17 +280,19 @@ def repeated_spans(
             mask = gone[start : start + size]
             edges = np.flatnonzero(np.diff(mask, prepend=False, append=False)).reshape(-1, 2).tolist()
             kept = block.data[start : start + size][~mask].tobytes() if edges else ordered[k]
+            if as_text:
+                kept = kept.decode("utf-8", "ignore")
             rows.append((size, [{"start": a, "stop": b} for a, b in edges], kept))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         there = group.take(pa.array(order, pa.int64()))
         return pa.table({
             "doc_id": there["_id"], "n_bytes": pa.array([r[0] for r in rows], pa.int64()), "spans": pa.array([r[1] for r in rows], kind),
-            "kept": pa.array([r[2] for r in rows], pa.binary()), "row": there["row"],
+            "kept": pa.array([r[2] for r in rows], pa.string() if as_text else pa.binary()), "row": there["row"],
         })
 
     row = texts.schema["row"].dataType.simpleString()
     return by_block.cogroup(replies.groupBy("block")).applyInArrow(
-        finish, f"doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary, row {row}"
+        finish, f"doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept {'string' if as_text else 'binary'}, row {row}"
     )
 
 
