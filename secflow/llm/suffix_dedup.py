@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,7 +174,8 @@ class Rounds:
 
 def _ordered(group: pa.Table) -> tuple[list[int], list[bytes]]:
     """The rows of a block by id (null last), then by text; and their texts in that order."""
-    ids, texts = group["_id"].to_pylist(), [x or b"" for x in group["_text"].to_pylist()]
+    open_up = zstandard.ZstdDecompressor().decompress
+    ids, texts = group["_id"].to_pylist(), [open_up(x) if x else b"" for x in group["_text"].to_pylist()]
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
     return order, [texts[i] for i in order]
 
@@ -239,9 +241,14 @@ def repeated_spans(
     def block_of(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, ids.fillna(2**63 - 1).astype("int64").to_numpy(), side="right"))
 
-    # One exchange of the texts; every round below reads it again.
+    @F.pandas_udf("binary")
+    def squeezed(texts: pd.Series) -> pd.Series:
+        shrink = zstandard.ZstdCompressor(level=1).compress
+        return texts.map(lambda x: shrink(x.encode()) if x else None)
+
+    # One exchange of the texts, which travel compressed; every round below reads it again.
     texts = docs.select(
-        block_of(F.col(id_col).cast("long")).alias("block"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"),
+        block_of(F.col(id_col).cast("long")).alias("block"), F.col(id_col).cast("long").alias("_id"), squeezed(F.col(text_col)).alias("_text"),
         F.struct(*[F.col(c) for c in keep] or [F.lit(None).cast("string").alias("none")]).alias("row"),
     )
     by_block = texts.groupBy("block")
