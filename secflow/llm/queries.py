@@ -5,12 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from secflow.llm import language, merkle, packing, pii, simhash, suffix_dedup
+from secflow.llm import chat, language, merkle, neighbours, ngram_lm, packing, pieces, pii, simhash, suffix_dedup
 from secflow.llm.common import table
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for each row whose vec_id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings, rebuilt from events, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(said).alias("text"))
+        for turn, role in enumerate(("user", "assistant"))
+    ])).alias("t")).select("t.*")
+    return chat.digest(chat.read_back(chat.render(chat.reconstruct(chat.as_log(turns.union(added))))))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of 4-word shingles and components at 4 or fewer differing bits."""
     return simhash.simhash_components(table(spark, sf_dir, "documents"), words=4, max_bits=4)
@@ -29,6 +47,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.repeated_spans(docs))
 
 
+def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of each document by the counts of all others."""
+    return ngram_lm.backoff_scores(table(spark, sf_dir, "documents")).withColumn("log_prob", F.round("log_prob", 4))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -39,6 +62,11 @@ def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best segmentation of each text into pieces, the scores of the 4 best, and the round trip."""
+    return pieces.digest(pieces.encode_documents(table(spark, sf_dir, "documents")))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of each text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,13 +74,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
+    "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_ngram_lm": op6_ngram_lm,
     "op7_packing": op7_packing,
     "op8_merkle": op8_merkle,
+    "op9_pieces": op9_pieces,
     "op10_pii": op10_pii,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_chat": chat.SQL, "op6_ngram_lm": ngram_lm.SQL}
