@@ -149,7 +149,7 @@ class Grams:
             share[at] = np.where(later[at], BACKOFF * value, value)
             level[at] = n + 1
         logs = np.log(share)
-        out = {"n_words": self.sizes, "log_prob": np.bincount(self.doc, logs, docs)}
+        out = {"n_words": self.sizes, "log_prob": np.bincount(self.doc, logs, docs).astype(np.float64)}
         for n, name in enumerate(("n_unseen", "n_unigram", "n_bigram", "n_trigram")):
             out[name] = np.bincount(self.doc[level == n], minlength=docs)
         return pd.DataFrame(out)

@@ -187,8 +187,8 @@ def pack(lengths: list[int], capacity: int = CAPACITY, partners: int = 64, patie
     """The lengths of each sequence.
 
     Best fit in descending order; then the emptiest sequence gives its pieces away, step by step, as long as steps
-    raise the sum of squared fills. A step looks at the ``partners`` sequences with most room. The search ends if
-    ``patience`` sequences in turn can't be emptied, or at the least number that the sum of lengths allows.
+    raise the sum of squared fills. A step looks at the ``partners`` sequences with most room. The search ends after
+    ``patience`` vain attempts since a sequence was last emptied, or at the least number that the sum of lengths allows.
     """
     bins = Bins(capacity)
     for x in sorted(lengths, reverse=True):
@@ -206,9 +206,10 @@ def pack(lengths: list[int], capacity: int = CAPACITY, partners: int = 64, patie
             break
         others = [b for b in open_ if b != poor]
         moved = any(_exchange(bins, poor, x, others) for x in sorted(bins.bins[poor], reverse=True))
+        if moved:
+            stuck.clear()  # what changed may take a piece of any of them
         if not bins.bins[poor]:
             alive, failed = alive - 1, 0
-            stuck.clear()
         elif not moved:
             stuck.add(poor)
             failed += 1

@@ -86,7 +86,8 @@ def confirmed(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
-_SPAN = "array<struct<start:int,stop:int,kind:int,name:string,score:double>>"
+#: Sorted as they should be: by start, then by the order of kinds.
+_SPAN = "array<struct<start:int,kind:int,stop:int,name:string,score:double>>"
 
 
 def _spans(rank: int, kind: Kind, text: Column, matches: Column, gaps: Column) -> Column:
@@ -100,7 +101,7 @@ def _spans(rank: int, kind: Kind, text: Column, matches: Column, gaps: Column) -
         before = F.substring(text, F.greatest(begin + 1 - NEARBY, F.lit(1)), F.least(begin, F.lit(NEARBY)))
         near = F.concat(before, F.lit(" "), F.substring(text, end + 1, F.lit(NEARBY)))
         score = kind.score + F.when(F.lower(near).rlike(rf"(?<![a-z])(?:{kind.words})"), 0.3).otherwise(0.0)
-        span = F.struct(begin.alias("start"), end.alias("stop"), F.lit(rank).alias("kind"), F.lit(kind.name).alias("name"), score.alias("score"))
+        span = F.struct(begin.alias("start"), F.lit(rank).alias("kind"), end.alias("stop"), F.lit(kind.name).alias("name"), score.alias("score"))
         keep = confirmed(kind.name, pair["match"]) & (score >= ENOUGH)
         return F.struct(end.alias("at"), F.when(keep, F.concat(state["found"], F.array(span).cast(_SPAN))).otherwise(state["found"]).alias("found"))
 
@@ -109,7 +110,7 @@ def _spans(rank: int, kind: Kind, text: Column, matches: Column, gaps: Column) -
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", name: str = "spans") -> DataFrame:
-    """``docs`` with an array of structs ``start, stop, kind, name, score``, by start, then by the order of kinds.
+    """``docs`` with an array of structs ``start, kind, stop, name, score``, by start, then by the order of kinds.
 
     A null text counts as empty and has no span. Spans of different kinds may overlap. Whole texts are read; a text
     that lacks what every match of a kind contains is not searched for it. ``name`` replaces a column of that name;
