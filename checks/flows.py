@@ -191,11 +191,12 @@ def merged_chain_records(spark, folder):
     ).groupBy("organization", "received", "hop_number", "severity").agg(F.count("*").alias("records"))
 
 
-@query(f"""WITH {E_SQL} SELECT 'not a JSON object' AS error, CAST(30 AS INTEGER) AS n_chars, count(*) AS n FROM e
- WHERE k = 13""")
+@query(f"""WITH {E_SQL} SELECT 'not a JSON object' AS stacktrace, CAST(30 AS INTEGER) AS n_chars, CAST(32 AS INTEGER) AS id_chars,
+ true AS own_id, count(*) AS n FROM e WHERE k = 13""")
 def reassembly_dead_letters(spark, folder):
-    return dead_letters(audit_lines(spark, folder)).groupBy(
-        "error", F.length("raw").alias("n_chars")).agg(F.count("*").alias("n"))
+    return dead_letters(audit_lines(spark, folder), algo="md5").groupBy(
+        "stacktrace", F.length("raw").alias("n_chars"), F.length("id").alias("id_chars"),
+        (F.col("id") == F.md5("raw")).alias("own_id")).agg(F.count("*").alias("n"))
 
 
 # Store and archive ----------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.tables import (
@@ -565,11 +566,19 @@ def error_events(spark, folder):
                       "error.id", "error.raw", "error.stacktrace", "error.collector.organization")
 
 
-@query()
+@query("""SELECT doc_id, CAST(40 AS INTEGER) AS n_chars, true AS is_hex, min(doc_id) OVER (PARTITION BY text) AS first_equal,
+ min(doc_id) OVER (PARTITION BY source, text) AS first_of_source FROM documents""")
 def content_ids(spark, folder):
-    """RIPEMD-160 ids of the whole document texts; the SQL engine has no such digest."""
-    return table(spark, folder, "documents").select(
-        "doc_id", ids.content_id(F.col("text")).alias("raw_id"))
+    """RIPEMD-160 ids of the whole document texts and of source and text.
+
+    The SQL engine has no such digest: checked are its form, and that ids are equal exactly where the texts are.
+    """
+    docs = table(spark, folder, "documents").select(
+        "doc_id", ids.message_ids(F.col("source"), F.lit("/"), F.col("text")).alias("i"))
+    first = lambda c: F.min("doc_id").over(Window.partitionBy(c))
+    return docs.select(
+        "doc_id", F.length("i.raw_id").alias("n_chars"), F.col("i.raw_id").rlike("^[0-9a-f]+$").alias("is_hex"),
+        first("i.raw_id").alias("first_equal"), first("i.norm_id").alias("first_of_source"))
 
 
 @query("""SELECT doc_id, md5(text || source) AS md5_id, sha256(text) AS sha_id FROM documents""")

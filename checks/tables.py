@@ -89,8 +89,9 @@ def dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     )
     rows = [(i, name, *(t for tool in tools for t in tool)) for i, (name, tools) in
             enumerate(PIPELINES.items())]
-    config = spark.createDataFrame(
-        rows, "id int, dev_type string, pn string, pv int, vn string, vv int, mn string, mv int")
+    names = ["id", "dev_type", "pn", "pv", "vn", "vv", "mn", "mv"]
+    config = spark.range(1).select(F.explode(F.array(*[
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])).alias("r")).select("r.*")
     dims = {
         "organizations": orgs,
         "device_types": config.select(
@@ -98,11 +99,11 @@ def dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.col("id").alias("vendor_id")),
         "device_vendors": config.select("id", s("vendor {id}").alias("name")),
     }
+    every = F.explode(F.array(*[F.lit(i) for i in range(len(rows))]))
     for role, name, version in (("parser", "pn", "pv"), ("validator", "vn", "vv"), ("mapper", "mn", "mv")):
         dims[f"{role}s"] = config.select("id", F.col(name).alias("name"), F.col(version).alias("version"))
-        dims[f"event_{role}s"] = orgs.select(F.col("id").alias("org_id")).join(
-            config.select(F.col("id").alias(f"{role}_id"), F.col("id").alias("device_type_id")),
-            F.lit(True))
+        dims[f"event_{role}s"] = orgs.select(F.col("id").alias("org_id"), every.alias(f"{role}_id")).withColumn(
+            "device_type_id", F.col(f"{role}_id"))
     return dims
 
 

@@ -155,7 +155,7 @@ def grok_values(text: Column, pattern: str, patterns: dict[str, str] | None = No
         F.lit(r"^[\s\S]*?(?:" + regex + r")[\s\S]*$"),
         F.lit(FIELD_MARK + FIELD_MARK.join(f"${{f{i}}}" for i in range(len(fields)))),
     )
-    values = F.split(F.substring(rewritten, 2, 1 << 30), FIELD_MARK)
+    values = F.split(F.substr(rewritten, F.lit(2)), FIELD_MARK)
     return F.when(F.startswith(rewritten, F.lit(FIELD_MARK)), values), fields
 
 

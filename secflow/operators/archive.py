@@ -64,12 +64,11 @@ def register_partitions(spark: SparkSession, table: str, path: str, day: str) ->
         below = f"{status.getPath().toString()}/sys_year={year}/sys_month={month}/sys_day={date}"
         if not fs.exists(jvm.org.apache.hadoop.fs.Path(below)):
             continue
-        org = name.split("=", 1)[1].replace("'", "\\'")
-        spark.sql(
-            f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION "
-            f"(sys_org='{org}', sys_year={year}, sys_month={month}, sys_day={date})"
-        )
-        added.append(org)
+        added.append(name.split("=", 1)[1].replace("'", "\\'"))
+    if added:
+        specs = " ".join(
+            f"PARTITION (sys_org='{org}', sys_year={year}, sys_month={month}, sys_day={date})" for org in added)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     return added
 
 

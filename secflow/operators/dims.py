@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.text import ANY
+from secflow.session import dimension_side
 
 Dims = Mapping[str, DataFrame]
 
@@ -60,12 +61,13 @@ def with_preferences(df: DataFrame, prefs: DataFrame) -> DataFrame:
     """Attach the pipeline of each row; the two flags feed the envelope checks.
 
     Preferences are folded to one row per organization, so one equi-join answers both questions.
+    They are broadcast if their tables are small, so that raw messages are not shuffled.
     """
     tools = [c for c in prefs.columns if c not in ("organization", "dev_type")]
     per_org = prefs.groupBy("organization").agg(
         F.map_from_entries(F.collect_list(F.struct("dev_type", F.struct(*tools)))).alias("_pipelines")
     )
-    joined = df.join(per_org, "organization", "left").withColumn(
+    joined = df.join(dimension_side(per_org), "organization", "left").withColumn(
         "_tools", F.try_element_at("_pipelines", F.col("dev_type"))
     )
     return (

@@ -54,7 +54,7 @@ def _unquote(values: Column, quote: str) -> Column:
 
 def parse_kv(text: Column, quote: str = '"', skip: int = PRIORITY_LENGTH) -> Column:
     """``key=value`` words separated by blanks; values may be quoted; a repeated key keeps its last value."""
-    body = F.substring(text, skip + 1, 1 << 30) if skip else text
+    body = F.substr(text, F.lit(skip + 1)) if skip else text
     regex = F.lit(_pairs_regex(quote))
     keys = F.regexp_extract_all(body, regex, F.lit(1))
     values = _unquote(F.regexp_extract_all(body, regex, F.lit(2)), quote)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.grok import grok_values
+from secflow.functions.ids import content_id
 from secflow.functions.text import once
 from secflow.operators.envelope import parse_envelope
 
@@ -28,11 +29,12 @@ def audit_key(df: DataFrame) -> DataFrame:
     }).drop("_header")
 
 
-def dead_letters(values: DataFrame) -> DataFrame:
-    """Messages that are no envelopes: text and reason."""
+def dead_letters(values: DataFrame, algo: str = "ripemd160") -> DataFrame:
+    """Messages that are no envelopes, in the shape of error events: content id, text and reason."""
     parsed = parse_envelope(values, kind="reassembly")
+    raw = F.col("value")
     return parsed.where(F.col("envelope_error").isNotNull()).select(
-        F.col("value").alias("raw"), F.col("envelope_error").alias("error")
+        content_id(raw, algo=algo).alias("id"), raw.alias("raw"), F.col("envelope_error").alias("stacktrace")
     )
 
 

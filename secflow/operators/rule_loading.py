@@ -12,20 +12,21 @@ from secflow.operators.dims import Dims
 from secflow.session import cut
 
 HOUR = 3600
-BUCKETS = 64
 
 
 def number_rows(df: DataFrame, order: list[str], start: Column) -> DataFrame:
     """Add consecutive ``id``s after ``start``, without sorting everything in one task.
 
-    Rows are numbered inside hash buckets; a bucket's offset is the size of those before it.
+    Rows are numbered inside hash buckets; a bucket's offset is the size of those before it.  There
+    are as many buckets as the session has shuffle partitions.
     """
-    bucket = F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int")
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")
     numbered = df.withColumn("_b", bucket).withColumn(
         "_n", F.row_number().over(Window.partitionBy("_b").orderBy(*order))
     )
     sizes = df.groupBy(bucket.alias("_b")).agg(F.count("*").alias("size"))
-    # At most BUCKETS rows, so one window over them is small whatever the input is.
+    # One row for each bucket, so one window over them is small whatever the input is.
     offsets = sizes.select("_b", (
         F.sum("size").over(Window.orderBy("_b")) - F.col("size")).alias("_before"))
     return numbered.join(offsets, "_b").withColumn(
@@ -225,6 +226,8 @@ def load_connection_rules(csv: DataFrame, dims: Dims, now: Column | None = None)
         cell("src_host_port").cast("int").alias("src_port"),
         cell("target_port_allowed", "target_host_port").cast("int").alias("dst_port"),
     )
+    # A line for all protocols names none, whatever its protocol cell says.
+    lines = lines.withColumn("proto", F.when(~F.col("all_proto"), F.col("proto"))).drop("all_proto")
     created: dict[str, DataFrame] = {}
     orgs = resolve(
         dims["organizations"].select("short_name", "id"),

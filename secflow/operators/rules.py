@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.text import ANY, path_segments
 from secflow.operators.schedule import within
-from secflow.session import small_side
+from secflow.session import dimension_side
 
 MARK = "\x01"
 ABSENT = "\x02"
@@ -119,7 +119,7 @@ def match_candidates(events: DataFrame, rules: DataFrame, layers: Layers,
     masks = by_key.agg(F.collect_set(wildcard_mask(layers))).scalar()
     probes = _probes(tuples, layers).select(*kept, *keys).where(
         F.array_contains(masks, wildcard_mask(layers)))
-    hits = probes.join(small_side(by_key), keys)
+    hits = probes.join(dimension_side(by_key), keys)
     if layers.event_path is not None:
         hits = hits.join(path_matches(tuples, rules, layers.rule_path), ["e_path", "rule_id"])
         ranks = [*ranks, "r_path"]
@@ -247,6 +247,6 @@ def path_matches(tuples: DataFrame, rules: DataFrame, rule_path: Column) -> Data
         F.explode(F.transform(fitting, key)).alias("_p"),
     ).select("e_path", "_size", "_p.node", "_p.r_path")
     fits = (F.col("depth") == F.col("_size")) | F.col("leaf")
-    return probes.join(small_side(nodes), "node").where(fits).groupBy("e_path", "rule_id").agg(
+    return probes.join(dimension_side(nodes), "node").where(fits).groupBy("e_path", "rule_id").agg(
         F.min("r_path").alias("r_path")
     )

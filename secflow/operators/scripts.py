@@ -61,29 +61,48 @@ class ScriptChain:
         return result[0], bool(result[1])
 
 
+def run_one(chain: ScriptChain, text: str | None) -> tuple[str | None, bool | None, str | None]:
+    """The rewritten value, whether it is kept, and why it could not be decided."""
+    try:
+        event = json.loads(text) if text is not None else None
+        if not isinstance(event, dict):
+            return text, None, "not a JSON object"
+        event, keep = chain(event)
+        return json.dumps(event, separators=(",", ":"), ensure_ascii=False), keep, None
+    except Exception as error:  # noqa: BLE001 - a user's script may raise anything
+        return text, None, f"{type(error).__name__}: {error}"
+
+
 def apply_scripts(df: DataFrame, scripts: list[tuple[str, str]], value: str = "value") -> DataFrame:
     """Run (name, body) scripts over JSON events: ``value`` is rewritten and ``keep`` is added.
 
     Rows travel in Arrow batches and the scripts are compiled once per task.  Without scripts
-    the frame passes through unchanged and everything is kept.
+    the frame passes through unchanged and everything is kept.  A value that is NULL or no JSON
+    object, or a script that fails, leaves ``value`` as it was, ``keep`` NULL and the reason in
+    ``script_error``; ``failed_scripts`` selects these rows.
     """
     if not scripts:
-        return df.withColumn("keep", F.lit(True))
-    schema = T.StructType([*df.schema.fields, T.StructField("keep", T.BooleanType())])
+        return df.withColumns({"keep": F.lit(True), "script_error": F.lit(None).cast("string")})
+    schema = T.StructType([
+        *df.schema.fields, T.StructField("keep", T.BooleanType()), T.StructField("script_error", T.StringType())])
     steps = list(scripts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chain = ScriptChain(steps)
         for batch in batches:
-            results = [chain(json.loads(text)) for text in batch[value]]
-            batch[value] = [
-                json.dumps(event, separators=(",", ":"), ensure_ascii=False) for event, _ in results
-            ]
-            batch["keep"] = [keep for _, keep in results]
+            results = [run_one(chain, text) for text in batch[value]]
+            batch[value] = [text for text, _, _ in results]
+            batch["keep"] = pd.array([keep for _, keep, _ in results], dtype="boolean")
+            batch["script_error"] = [error for _, _, error in results]
             yield batch
 
     return df.mapInPandas(run, schema)
 
 
 def keep_approved(df: DataFrame) -> DataFrame:
-    return df.where("keep").drop("keep")
+    return df.where("keep").drop("keep", "script_error")
+
+
+def failed_scripts(df: DataFrame) -> DataFrame:
+    """Rows that no script could decide, with the reason."""
+    return df.where(F.col("keep").isNull()).drop("keep")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from secflow.functions.ids import content_id
+from secflow.functions.ids import message_ids
 from secflow.functions.text import UNKNOWN, split_host
 from secflow.operators.envelope import preparsed_text, raw_text
 from secflow.operators.validate import joined
@@ -27,9 +27,9 @@ def with_ids(df: DataFrame, algo: str = "ripemd160", value: str = "value") -> Da
         "source_host",
         F.when(readable, F.coalesce("event_hostname", "event_ip")).otherwise(F.lit(UNKNOWN)),
     )
-    df = df.withColumn("raw_id", content_id(F.col("raw_message"), algo=algo))
-    norm_id = content_id(F.col("organization"), F.col("source_host"), F.col("raw_id"), algo=algo)
-    return df.withColumn("norm_id", norm_id)
+    ids = message_ids(F.col("organization"), F.col("source_host"), F.col("raw_message"), algo)
+    df = df.withColumn("_ids", ids)
+    return df.withColumns({"raw_id": F.col("_ids.raw_id"), "norm_id": F.col("_ids.norm_id")}).drop("_ids")
 
 
 def with_outcome(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from secflow.operators.normalize import MAPPERS, normalize
 from secflow.operators.parsers import parse_logs
 from secflow.operators.states import split_states, with_ids, with_outcome
 from secflow.operators.validate import validate, validate_envelope
+from secflow.session import dimension_side
 
 # Parser, validator and mapper that belong together.
 PIPELINES = {
@@ -42,7 +43,7 @@ def parsed_and_validated(
     tools = ["parser_name", "validator_name", "mapper_name"]
     df = df.withColumns({t: F.when(usable, F.col(t)) for t in tools})
     df = validate(parse_logs(df, parsers), validators)
-    df = with_ids(df.join(vendor_of, "dev_type", "left"), algo=algo)
+    df = with_ids(df.join(dimension_side(vendor_of), "dev_type", "left"), algo=algo)
     df = with_outcome(df)
     df = df.withColumn("mapper_name", F.when(F.col("outcome") == "valid", F.col("mapper_name")))
     return normalize(df, formats, mappers or MAPPERS)

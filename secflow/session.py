@@ -25,27 +25,38 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than there are cores.
+SPREAD_BYTES = 64 << 20
+BROADCAST_BYTES = 8 << 20
 
-    A few small files would otherwise be parsed by a few tasks; an input with enough partitions
-    is left alone, so nothing is shuffled at scale.
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes that the plan reads from its sources, by their own statistics; no job is run.
+
+    A source of unknown size counts as larger than any bound.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-BROADCAST_ROWS = 100_000
+def spread(df: DataFrame, max_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Deal out an input of a few megabytes, which would else be parsed by a task or two.
+
+    Larger inputs are split by the reader's own options and are never shuffled here.
+    """
+    if source_bytes(df) > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast once a bounded count has proved it small enough.
+def dimension_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a dimension for broadcast if what it is read from is small enough.
 
-    Catalyst overestimates dimensions that are joins themselves, so it would shuffle the big side
-    for them.  Above the bound the frame is returned as it is and the join shuffles.  This runs a
-    count over at most ``max_rows + 1`` rows when the plan is built.
+    Catalyst multiplies the sizes of joined dimensions, so it would shuffle the big side for them.
+    The bound is on the bytes of the sources, some hundredfold below what executors hold, and is
+    looked up in the plan: no job runs while a plan is built.  Beyond it the frame is returned as
+    it is, and the join is left to Catalyst and AQE.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if source_bytes(df) <= max_bytes else df
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

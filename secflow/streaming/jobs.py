@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from secflow.operators.archive import upsert_latest
 from secflow.operators.reassemble import dead_letters, merge_chain, reassemble
 from secflow.sources.sinks import start_sink
 
@@ -74,7 +75,7 @@ def reassembly_queries(
     null_key = F.lit(None).cast("string").alias("key")
     records = merge_chain(reassemble(values)).select(null_key, "value", F.lit(topics[0]).alias("topic"))
     errors = dead_letters(values).select(
-        null_key, F.to_json(F.struct("raw", "error")).alias("value"), F.lit(topics[1]).alias("topic"))
+        null_key, F.to_json(F.struct("id", "raw", "stacktrace")).alias("value"), F.lit(topics[1]).alias("topic"))
 
     def place(name: str) -> dict[str, Any]:
         return {"path": f"{path}/{name}"} if path is not None else {}
@@ -90,9 +91,30 @@ def wait_for_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def latest_stream(df: DataFrame, key: str, event_time: str, horizon: str = "10 minutes") -> DataFrame:
-    """Streaming form of the keyed store: re-delivered copies within the horizon are dropped."""
-    return df.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])
+def store_stream(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "id", order: str = "write_ts", **how,
+) -> StreamingQuery:
+    """Streaming form of the keyed store: the last write of a key wins, however late it comes.
+
+    Each micro-batch is reduced to the newest row of each key and written to a folder of its own,
+    so a repeated batch replaces itself.  ``read_store`` merges the folders, ``compact_store``
+    replaces them by one.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        upsert_latest(batch, key, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return run_batches(stream, body, checkpoint, **how)
+
+
+def read_store(spark: SparkSession, path: str, key: str = "id", order: str = "write_ts") -> DataFrame:
+    """The newest row of each key over all batches of a store."""
+    return upsert_latest(spark.read.parquet(path).drop("batch"), key, order)
+
+
+def compact_store(spark: SparkSession, path: str, target: str, key: str = "id", order: str = "write_ts") -> None:
+    """Write the merged store as one batch below ``target``; its stream goes on there with larger batch ids."""
+    read_store(spark, path, key, order).write.mode("overwrite").parquet(f"{target}/batch=-1")
 
 
 PROGRESS = (
@@ -115,18 +137,17 @@ def progress_row(progress: dict[str, Any]) -> tuple:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects progress reports (a few numbers per batch, the newest ``keep`` of them)."""
+    """Appends each progress report (a few numbers per batch) to a folder and keeps none of them."""
 
-    def __init__(self, keep: int = 10_000):
-        self.rows: list[tuple] = []
-        self._keep = keep
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
-        self.rows.append(progress_row(json.loads(event.progress.json)))
-        del self.rows[: -self._keep]
+        row = progress_row(json.loads(event.progress.json))
+        self._spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").json(self._path)
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
@@ -134,5 +155,5 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         pass
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, PROGRESS)
+    def frame(self) -> DataFrame:
+        return self._spark.read.schema(PROGRESS).json(self._path)

@@ -36,21 +36,21 @@ def calendar(spark):
 
 
 def test_object_rules(spark, calendar):
-    host = ("admincomp", None)
+    desk = ("desk12", None)
     rules = spark.createDataFrame([
-        rule(0, "WindowsObject", "soc", result="Restricted"),
-        rule(1, "WindowsObject", "soc", "admin", host, path="c:\\windows\\*", result="Restricted"),
-        rule(2, "WindowsObject", "soc", "admin", host, path="c:\\windows\\system32\\driver\\etc\\hosts"),
-        rule(3, "WindowsObject", "soc", "somebody", path="c:\\*"),
-        rule(4, "WindowsObject", "soc", "admin", host, path="c:\\*"),
-        rule(5, "WindowsObject", "soc", "somebody", path="sysvol"),
+        rule(10, "WindowsObject", "lab", result="Restricted"),
+        rule(11, "WindowsObject", "lab", "olga", desk, path="e:\\books\\2020\\*", result="Restricted"),
+        rule(12, "WindowsObject", "lab", "olga", desk, path="e:\\books\\2020\\may\\sum.xls"),
+        rule(13, "WindowsObject", "lab", "ivan", path="f:\\*"),
+        rule(14, "WindowsObject", "lab", "olga", desk, path="e:\\*"),
+        rule(15, "WindowsObject", "lab", "ivan", path="netlogon"),
     ], RULES)
-    cases = [("admin", "C:\\Program Files\\Java", "admincomp", 4), ("admin", "C:\\Windows\\System32\\", "admincomp", 1),
-             ("admin", "C:\\Windows\\System32\\Driver\\etc\\hosts", "admincomp", 2), ("x", "c:\\a", "q", 0),
-             ("somebody", "d:\\q", "z", 0), ("somebody", "c:\\q\\e\\r", "z", 3), ("somebody", "sysvol", "z", 5)]
+    cases = [("olga", "E:\\Music", "desk12", 14), ("olga", "E:\\Books\\2020\\June", "desk12", 11),
+             ("olga", "E:\\Books\\2020\\May\\sum.xls", "desk12", 12), ("petr", "e:\\a", "desk3", 10),
+             ("ivan", "g:\\t", "desk4", 10), ("ivan", "f:\\u\\v\\w", "desk4", 13), ("ivan", "netlogon", "desk4", 15)]
     df = with_event(
         spark.createDataFrame(cases, "n string, p string, h string, expected int"), collector__organization="org1",
-        subject__category="account", subject__domain="SOC", subject__name=F.col("n"),
+        subject__category="account", subject__domain="LAB", subject__name=F.col("n"),
         destination__hostname=F.col("h"), object__category="file", object__path=F.col("p"),
         eventSource__title="Windows", interaction__action="access", data__originTime=F.lit(1000))
     for row in control(df, rules, "windows_object", calendar).collect():
@@ -58,21 +58,21 @@ def test_object_rules(spark, calendar):
 
 
 def test_connection_rules(spark, calendar):
-    target = (None, "192.168.114.115")
+    target = (None, "10.60.0.9")
     rules = spark.createDataFrame([
-        rule(0, "FirewallConnection", source=(None, "192.168.55.66"), destination=target, protocol="tcp",
-             aux2="22,1080-8080"),
-        rule(1, "FirewallConnection", source=(None, "192.168.77.88"), destination=target, protocol="tcp",
-             aux1="22589", aux2="22,1080-8080"),
-        rule(2, "FirewallConnection", source=(None, "192.168.33.44"), destination=target, aux2="6669"),
+        rule(20, "FirewallConnection", source=(None, "10.61.1.1"), destination=target, protocol="tcp",
+             aux2="443,3000-3099"),
+        rule(21, "FirewallConnection", source=(None, "10.61.1.2"), destination=target, protocol="tcp",
+             aux1="50505", aux2="443,3000-3099"),
+        rule(22, "FirewallConnection", source=(None, "10.61.1.3"), destination=target, aux2="53"),
     ], RULES)
-    cases = [("192.168.55.66", 35476, 22, 0), ("192.168.55.66", 1, 5000, 0), ("192.168.55.66", 1, 9000, None),
-             ("192.168.77.88", 22589, 22, 1), ("192.168.77.88", 22588, 22, None), ("192.168.33.44", 5, 6669, 2),
-             ("192.168.11.22", 13432, 22, None)]
+    cases = [("10.61.1.1", 41000, 443, 20), ("10.61.1.1", 7, 3050, 20), ("10.61.1.1", 7, 3100, None),
+             ("10.61.1.2", 50505, 443, 21), ("10.61.1.2", 50506, 443, None), ("10.61.1.3", 9, 53, 22),
+             ("10.61.1.4", 40000, 443, None)]
     # The address arrives as a host name: both share one key space.
     df = with_event(
         spark.createDataFrame(cases, "s string, sp int, dp int, expected int"), collector__organization="org1",
-        source__hostname=F.col("s"), source__port=F.col("sp"), destination__hostname="192.168.114.115",
+        source__hostname=F.col("s"), source__port=F.col("sp"), destination__hostname="10.60.0.9",
         destination__port=F.col("dp"), interaction__protocol="TCP", eventSource__category="Firewall")
     for row in control(df, rules, "connection", calendar).collect():
         assert row["rule_id"] == row["expected"]

@@ -1,7 +1,10 @@
 """Sources, sinks, scripts, stores and streaming."""
 
+import hashlib
 import json
+import os
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,11 +14,12 @@ from secflow.operators.hops import hop_delay
 from secflow.operators.reassemble import dead_letters, merge_chain, reassemble
 from secflow.operators.route import route, with_topic
 from secflow.operators.rule_loading import merge_ranges, number_rows, resolve
-from secflow.operators.scripts import ScriptChain, apply_scripts, keep_approved, lens
+from secflow.operators.scripts import ScriptChain, apply_scripts, failed_scripts, keep_approved, lens
 from secflow.schema import EVENT, build
 from secflow.sources.readers import decode_by_topic, read_calendar, read_rules_csv, read_text, read_text_stream
 from secflow.sources.sinks import start_sink, write_batch, write_search_docs
-from secflow.streaming.jobs import ProgressLog, Refreshing, job_stream, latest_stream, reassembly_queries
+from secflow.streaming.jobs import (
+    ProgressLog, Refreshing, compact_store, job_stream, read_store, reassembly_queries, store_stream)
 
 
 @pytest.fixture()
@@ -46,6 +50,16 @@ def test_scripts_over_frames(spark):
     assert apply_scripts(df, []).where("keep").count() == 4
 
 
+def test_scripts_never_end_the_job(spark):
+    texts = ['{"id": 1}', None, "no json", "[1]", '{"other": 2}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    out = apply_scripts(df, [("f", "return (event, event['id'] == 1)")])
+    assert [r["i"] for r in keep_approved(out).collect()] == [0]
+    failed = {r["i"]: (r["value"], r["script_error"]) for r in failed_scripts(out).collect()}
+    assert set(failed) == {1, 2, 3, 4} and failed[1] == (None, "not a JSON object") and failed[3][0] == "[1]"
+    assert failed[2][1].startswith("JSONDecodeError") and failed[4] == ('{"other": 2}', "KeyError: 'id'")
+
+
 def test_routing_order(spark):
     rows = [("a", "o1"), ("b", "o1"), ("c", "o1"), ("d", "o1"), ("a", "o2")]
     df = spark.createDataFrame(rows, "dev_type string, organization string").withColumn("malformed", F.lit(False))
@@ -123,12 +137,12 @@ def test_files(spark, folder):
 
 
 def test_topics_and_documents(spark, folder):
-    df = spark.createDataFrame([(None, '{"id":"1"}', "Soc"), (None, '{"rawId":"2"}', "chain")],
+    df = spark.createDataFrame([(None, '{"id":"1"}', "Acme"), (None, '{"rawId":"2"}', "chain")],
                                "key string, value string, topic string")
     write_batch(df, "parquet", f"{folder}/m")
     back = read_text(spark, "parquet", path=f"{folder}/m")
-    parts = decode_by_topic(back, {"soc": EVENT})
-    assert [r["event"]["id"] for r in parts["soc"].collect()] == ["1"]
+    parts = decode_by_topic(back, {"acme": EVENT})
+    assert [r["event"]["id"] for r in parts["acme"].collect()] == ["1"]
     event = build(EVENT, {"id": F.lit("x"), "eventSource.title": F.lit("A b"), "data.time": F.lit(0)})
     write_search_docs(spark.range(1).select(event.alias("event")), f"{folder}/docs")
     doc = spark.read.json(f"{folder}/docs").first()
@@ -157,7 +171,8 @@ def test_reassembly_batch(spark):
     assert got[("7", start)].split("\n") == [
         f"type=X msg=audit({start + 1}.5:7): b", f"type=X msg=audit({start + 2}.5:7): a"]
     assert set(got) == {("7", start), ("8", start), ("7", start + 30), ("1", start + 600)}
-    assert [r["error"] for r in dead_letters(df).collect()] == ["not a JSON object"]
+    assert [tuple(r) for r in dead_letters(df, algo="md5").collect()] == [
+        (hashlib.md5(b"broken").hexdigest(), "broken", "not a JSON object")]
     value = json.loads(merge_chain(reassemble(df)).first()["value"])
     assert value["chain"] == {"a": {"number": 1}} and value["DevType"] == "reassembledAuditD01"
 
@@ -184,7 +199,7 @@ def test_job_stream_refreshes_dimensions(spark, folder):
     loads = []
     dimension = Refreshing(lambda: loads.append(1) or len(loads), ttl=8, clock=lambda: next(clock))
     assert [dimension.get() for _ in range(4)] == [1, 1, 2, 2]
-    log = ProgressLog()
+    log = ProgressLog(spark, f"{folder}/progress")
     spark.streams.addListener(log)
     stream = read_text_stream(spark, "parquet", path=f"{folder}/in")
     query = job_stream(
@@ -192,10 +207,26 @@ def test_job_stream_refreshes_dimensions(spark, folder):
         lambda out, n: out.write.mode("overwrite").parquet(f"{folder}/out/batch={n}"), f"{folder}/ck",
         available_now=True)
     query.awaitTermination(60)
+    for _ in range(60):  # reports arrive some time after the query has ended
+        if os.path.exists(f"{folder}/progress/_SUCCESS") and log.frame().count():
+            break
+        time.sleep(0.5)
     spark.streams.removeListener(log)
     assert spark.read.parquet(f"{folder}/out").count() == 10
-    dedup = latest_stream(
-        stream.withColumn("t", F.timestamp_seconds(F.lit(1000))), "topic", "t")
-    second = start_sink(dedup.drop("t"), "parquet", f"{folder}/ck2", f"{folder}/out2", available_now=True)
-    second.awaitTermination(60)
-    assert spark.read.parquet(f"{folder}/out2").count() == 1
+    assert log.frame().agg(F.sum("input_rows")).first()[0] == 10
+
+
+def test_store_stream_keeps_the_last_write(spark, folder):
+    writes = [("a", 1, "x"), ("b", 5, "y"), ("a", 9, "new"), ("a", 3, "late"), ("c", 2, "z"), ("b", 6, "newer")]
+    for n, part in enumerate((writes[:3], writes[3:])):
+        spark.createDataFrame(part, "id string, write_ts long, v string").coalesce(1).write.parquet(f"{folder}/in/part={n}")
+    schema = "id string, write_ts long, v string"
+    for n in range(2):
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in/part={n}")
+        store_stream(stream, f"{folder}/store/{n}", f"{folder}/ck{n}", available_now=True).awaitTermination(60)
+    whole = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
+    store_stream(whole, f"{folder}/all", f"{folder}/ck", available_now=True).awaitTermination(60)
+    want = {("a", 9, "new"), ("b", 6, "newer"), ("c", 2, "z")}
+    assert {tuple(r) for r in read_store(spark, f"{folder}/all").select("id", "write_ts", "v").collect()} == want
+    compact_store(spark, f"{folder}/all", f"{folder}/small")
+    assert {tuple(r) for r in read_store(spark, f"{folder}/small").select("id", "write_ts", "v").collect()} == want

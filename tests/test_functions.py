@@ -14,12 +14,12 @@ def values(spark, *columns):
 
 
 def test_split_host_cases(spark):
-    full, short = F.lit("test.org1.corp"), F.lit("test")
+    full, short = F.lit("mail7.lab.example"), F.lit("mail7")
     cases = [(full, short, True), (short, full, True), (None, full, True), (None, short, False),
              (full, None, True), (short, None, False)]
     for fqdn, hostname, qualified in cases:
         got = values(spark, *text.split_host(fqdn, hostname))
-        assert got == ["test.org1.corp" if qualified else None, "test"]
+        assert got == ["mail7.lab.example" if qualified else None, "mail7"]
     assert values(spark, *text.split_host(None, None)) == [None, None]
 
 
