@@ -265,13 +265,13 @@ def logon_file(spark, folder):
     """A logon rule file with one line per order; a part of its keys exists already."""
     return table(spark, folder, "orders").selectExpr(
         "concat('NATION_', o_custkey % 30) as org", "concat('host', o_custkey % 40) as hostname",
-        "concat('10.9.0.', o_custkey % 40) as ip", "concat('U', o_custkey % 50) as username",
+        "concat('10.9.0.', o_custkey % 40) as ip", "concat('U', o_custkey) as username",
         "concat('Dom', o_custkey % 3) as domain", "cast(2 + o_orderkey % 3 as string) as logontype",
         "'any' as fromHost", "if(o_custkey % 2 = 0, 8, 0) as fromTime", "if(o_custkey % 2 = 0, 18, 24) as toTime",
         "o_custkey % 2 = 0 as isWeekendAllowed").distinct()
 
 
-LINES_SQL = """f AS (SELECT DISTINCT o_custkey % 30 AS org, o_custkey % 40 AS host, o_custkey % 50 AS u, o_custkey % 3 AS dom,
+LINES_SQL = """f AS (SELECT DISTINCT o_custkey % 30 AS org, o_custkey % 40 AS host, o_custkey AS u, o_custkey % 3 AS dom,
  2 + o_orderkey % 3 AS logontype, o_custkey % 2 = 0 AS weekend FROM orders)"""
 
 
@@ -310,26 +310,27 @@ def logon_rule_dimensions(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("""SELECT DISTINCT 'U' || (o_custkey % 50) AS login, 'c:\\d' || (o_custkey % 9) AS obj_path,
+@query("""SELECT DISTINCT 'NATION_' || (o_custkey % 25) AS org, 'U' || o_custkey AS login, 'c:\\d' || (o_custkey % 9) AS obj_path,
  CASE WHEN o_custkey % 2 = 0 THEN '*.txt' END AS obj_name, 'host' || (o_custkey % 40) AS host FROM orders""")
 def object_rule_file(spark, folder):
     csv = table(spark, folder, "orders").selectExpr(
         "concat('NATION_', o_custkey % 25) as org", "concat('host', o_custkey % 40) as hostname",
         "concat('10.9.0.', o_custkey % 40) as ip", "concat('c:\\\\d', o_custkey % 9) as catalog",
-        "concat('U', o_custkey % 50) as username", "'NewDom' as userDomain",
+        "concat('U', o_custkey) as username", "'NewDom' as userDomain",
         "if(o_custkey % 2 = 0, '*.txt', '*') as filesMask", "0 as fromTime", "24 as toTime",
         "true as isWeekendAllowed").distinct()
     dims = staff_dims(spark, folder)
     made = load_object_rules(csv, dims, F.timestamp_seconds(F.lit(0)))
     objects = dims["objects"].select("id", "obj_path", "obj_name").unionByName(
         made["objects"].select("id", "obj_path", "obj_name")).withColumnRenamed("id", "object")
-    people = made["subject"].select(F.col("id").alias("subject"), "login")
+    orgs = dims["organizations"].select(F.col("id").alias("org_id"), F.col("short_name").alias("org"))
+    people = made["subject"].select(F.col("id").alias("subject"), "org_id", "login").join(orgs, "org_id")
     hosts = made["hosts"].select(F.col("id").alias("source"), F.col("host_name").alias("host"))
     return made["rules"].join(objects, "object").join(people, "subject").join(hosts, "source").select(
-        "login", "obj_path", "obj_name", "host").distinct()
+        "org", "login", "obj_path", "obj_name", "host")
 
 
-@query("""WITH f AS (SELECT l_suppkey % 25 AS org, CASE WHEN l_linenumber = 1 THEN NULL ELSE '10.8.0.' || (l_suppkey % 50) END AS src,
+@query("""WITH f AS (SELECT l_suppkey % 25 AS org, CASE WHEN l_linenumber = 1 THEN NULL ELSE '10.8.' || (l_orderkey // 250 % 250) || '.' || (l_orderkey % 250) END AS src,
   CASE WHEN l_linenumber % 2 = 0 THEN 'tcp' END AS proto, CAST(l_partkey % 40 AS INTEGER) AS port FROM lineitem),
  p AS (SELECT DISTINCT * FROM f),
  q AS (SELECT *, port - row_number() OVER (PARTITION BY org, src, proto ORDER BY port) AS g FROM p),
@@ -340,7 +341,7 @@ def object_rule_file(spark, folder):
 def connection_rule_file(spark, folder):
     csv = table(spark, folder, "lineitem").selectExpr(
         "concat('NATION_', l_suppkey % 25) as organization",
-        "if(l_linenumber = 1, 'any', concat('10.8.0.', l_suppkey % 50)) as src_host_ip", "'any' as target_host_ip",
+        "if(l_linenumber = 1, 'any', concat('10.8.', l_orderkey div 250 % 250, '.', l_orderkey % 250)) as src_host_ip", "'any' as target_host_ip",
         "'false' as allportallowed", "'false' as allprotocolallowed",
         "if(l_linenumber % 2 = 0, 'tcp', 'any') as proto", "'any' as src_host_port",
         "cast(l_partkey % 40 as string) as target_host_port").distinct()

@@ -121,7 +121,8 @@ def match_candidates(events: DataFrame, rules: DataFrame, layers: Layers,
         F.array_contains(masks, wildcard_mask(layers)))
     hits = probes.join(dimension_side(by_key), keys)
     if layers.event_path is not None:
-        hits = hits.join(path_matches(tuples, rules, layers.rule_path), ["e_path", "rule_id"])
+        # Only paths and rules whose exact keys fit are compared, so a rule for all paths meets few of them.
+        hits = hits.join(path_matches(hits, rules, layers.rule_path), ["e_path", "rule_id"])
         ranks = [*ranks, "r_path"]
     return hits.groupBy("_tuple").agg(
         F.collect_list(F.struct(*ranks, "_rule")).alias("_candidates")
@@ -222,15 +223,15 @@ def path_nodes(rules: DataFrame, rule_path: Column) -> DataFrame:
                            F.array_join(stars, "").alias("shape"))
 
 
-def path_matches(tuples: DataFrame, rules: DataFrame, rule_path: Column) -> DataFrame:
-    """(path, rule) pairs that fit, with the rank: one digit per level, 0 exact and 1 wildcard.
+def path_matches(pairs: DataFrame, rules: DataFrame, rule_path: Column) -> DataFrame:
+    """Those (e_path, rule_id) of ``pairs`` that fit, with the rank: one digit per level, 0 exact and 1 wildcard.
 
     A path is expanded only to the wildcard shapes that occur among the rules.  It fits a node of
     its own depth, or a leaf above it.
     """
     nodes = path_nodes(rules, rule_path)
     shapes = nodes.agg(F.collect_set("shape"))
-    paths = tuples.select("e_path").distinct().withColumns({
+    paths = pairs.select("e_path", "rule_id").distinct().withColumns({
         "_segments": F.split("e_path", MARK), "_shapes": shapes.scalar(),
     })
     fitting = F.filter("_shapes", lambda s: F.length(s) <= F.size("_segments"))
@@ -243,10 +244,10 @@ def path_matches(tuples: DataFrame, rules: DataFrame, rule_path: Column) -> Data
         return F.struct(F.array_join(parts, MARK).alias("node"), shape.alias("r_path"))
 
     probes = paths.select(
-        "e_path", F.size("_segments").alias("_size"),
+        "e_path", "rule_id", F.size("_segments").alias("_size"),
         F.explode(F.transform(fitting, key)).alias("_p"),
-    ).select("e_path", "_size", "_p.node", "_p.r_path")
+    ).select("e_path", "rule_id", "_size", "_p.node", "_p.r_path")
     fits = (F.col("depth") == F.col("_size")) | F.col("leaf")
-    return probes.join(dimension_side(nodes), "node").where(fits).groupBy("e_path", "rule_id").agg(
+    return probes.join(dimension_side(nodes), ["node", "rule_id"]).where(fits).groupBy("e_path", "rule_id").agg(
         F.min("r_path").alias("r_path")
     )
