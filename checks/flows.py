@@ -16,6 +16,7 @@ from secflow.operators.route import route
 from secflow.operators.rule_loading import load_connection_rules, load_logon_rules, load_object_rules, merge_ranges
 from secflow.operators.scripts import apply_scripts, keep_approved
 from secflow.operators.stats import filter_stats, routing_stats, routing_totals
+from secflow.plans.flows import archive_job, filter_job, monitor_job, route_job, search_job, store_job
 
 QUERIES, SQL = {}, {}
 
@@ -355,3 +356,60 @@ def connection_rule_file(spark, folder):
         F.col("id").alias("object"), F.col("obj_name").alias("proto"))
     return made["rules"].join(people, "subject").join(orgs, "org_id").join(hosts, "source", "left").join(
         objects, "object", "left").select("org", "src", "proto", "aux1", "aux2")
+
+
+# Whole jobs -----------------------------------------------------------------------------------
+
+
+@query(f"""WITH {ROUTE_SQL} SELECT '{{"DevType":"' || event_type || '","Organization":"NATION_' || o || '"}}' AS value, topic,
+ count(*) AS n FROM routed WHERE topic IS NOT NULL GROUP BY ALL""")
+def route_job_messages(spark, folder):
+    value = F.when(F.col("k") == 7, F.lit("{oops")).otherwise(F.to_json(F.struct(
+        F.col("event_type").alias("DevType"), F.expr(ORG).alias("Organization"))))
+    values = events(spark, folder).withColumn("value", value)
+    sent, _ = route_job(values, MAPPING, drop=["ERROR"], garbage_pct=10, sample_key="event_id")
+    return sent.groupBy("value", "topic").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {E_SQL} SELECT CASE WHEN k % 10 = 3 THEN 'error' ELSE 'approved' END AS topic,
+ CASE WHEN k % 10 <> 3 THEN event_id END AS id, CASE WHEN k % 10 = 3 THEN 'broken ' || event_id END AS raw FROM e
+ WHERE k % 10 = 3 OR (event_id % 3 <> 0 AND user_id <> 7)""")
+def filter_job_messages(spark, folder):
+    value = F.when(F.col("k") % 10 == 3, s("broken {event_id}")).otherwise(F.to_json(F.struct(
+        F.col("event_id").alias("id"), F.col("epoch").alias("eventTime"), F.struct(s("u{user_id}").alias("name")).alias("subject"))))
+    sent, _ = filter_job(events(spark, folder).select(value.alias("value")), SCRIPTS, "approved")
+    return sent.select("topic", F.get_json_object("value", "$.id").cast("bigint").alias("id"), F.get_json_object("value", "$.raw").alias("raw"))
+
+
+@query(f"""WITH {HOPS_SQL} SELECT organization, hop_in, hop_out, CAST(sum(delay_us) // count(*) AS BIGINT) AS delay_us, count(*) AS events
+ FROM d WHERE hop_in IS NOT NULL GROUP BY ALL""")
+def monitor_job_means(spark, folder):
+    return monitor_job(chains(spark, folder))[1]
+
+
+@query(f"""WITH {E_SQL} SELECT 'store' AS part, 'id' || user_id AS id, event_id AS payload FROM e
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY micros DESC, event_id DESC) = 1
+ UNION ALL SELECT 'counts', CAST(count(*) AS VARCHAR), count(DISTINCT user_id) FROM e""")
+def store_job_rows(spark, folder):
+    df = events(spark, folder).select(
+        s("id{user_id}").alias("id"), F.col("event_id").alias("payload"), F.col("micros").alias("write_ts"))
+    newest, counts = store_job(df)
+    return newest.select(F.lit("store").alias("part"), "id", "payload").unionByName(
+        counts.select(F.lit("counts").alias("part"), F.col("read").cast("string").alias("id"), F.col("kept").alias("payload")))
+
+
+@query(f"""WITH {E_SQL} SELECT event_type || '_' || k || '-' || strftime(make_timestamp(micros), '%d.%m.%Y') || '/normalized' AS index_name,
+ count(*) AS documents FROM e GROUP BY ALL""")
+def search_job_indexes(spark, folder):
+    df = canonical(events(spark, folder), id=s("doc{event_id}"), eventSource__title=s("{event_type} {k}"), data__time=F.col("epoch"))
+    return search_job(df)[1]
+
+
+@query(f"""WITH {E_SQL} SELECT 'NATION_' || (user_id % 25) AS sys_org, 2024 AS sys_year, 1 AS sys_month, 15 AS sys_day,
+ 'u' || user_id AS name, event_id FROM e WHERE CAST(make_timestamp(micros) AS DATE) = DATE '2024-01-15'""")
+def archive_job_rows(spark, folder):
+    df = canonical(
+        events(spark, folder), id=s("{event_id}"), subject__name=s("u{user_id}"), collector__organization=F.expr(ORG),
+        data__time=F.col("epoch")).withColumn("write_ms", F.expr("micros div 1000"))
+    flat, _ = archive_job(df.select("event", "write_ms"), "2024-01-15", "write_ms")
+    return flat.select("sys_org", "sys_year", "sys_month", "sys_day", F.col("subject_name").alias("name"), F.col("id").cast("bigint").alias("event_id"))
