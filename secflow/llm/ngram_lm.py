@@ -48,8 +48,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWER, _INVERSE = _powers(_BASE, _STEP + 1), _powers(pow(_BASE, -1, 2**64), _STEP + 1)
 
 
-def _words_of(text: bytes) -> np.ndarray:
-    """64-bit names of the words of a text, in order."""
+def _words_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start, and their 64-bit names."""
     data = _LOWER[np.frombuffer(text, np.uint8)]
     space = np.concatenate([[True], _SPACE[data], [True]])
     starts = np.flatnonzero(space[:-1] & ~space[1:])
@@ -73,7 +73,7 @@ def _words_of(text: bytes) -> np.ndarray:
         s, e = starts[low:high] - base, ends[low:high] - base
         out[low:high] = (prefix[e] - prefix[s]) * _INVERSE[s]
         low = high
-    return mix(out) if len(out) else out
+    return starts, mix(out) if len(out) else out
 
 
 class Grams:
@@ -87,21 +87,23 @@ class Grams:
         def flush() -> None:
             # Short texts are hashed together, each in a line of its own.
             if held:
-                words.append(_words_of(b"\n".join(held)))
+                starts, names = _words_of(b"\n".join(held))
+                words.append(names)
+                lines = np.cumsum([0, *[len(x) + 1 for x in held]])
+                sizes.append(np.diff(np.searchsorted(starts, lines)))
                 held.clear()
 
         total = 0
         for text in texts:
             held.append(text)
             total += len(text)
-            sizes.append(len(text.split()))
             if total >= _STEP // 2:
                 flush()
                 total = 0
         flush()
         self.words = np.concatenate(words) if words else np.zeros(0, np.uint64)
-        self.sizes = np.array(sizes, np.int64)
-        self.doc = np.repeat(np.arange(len(sizes)), self.sizes)
+        self.sizes = np.concatenate(sizes).astype(np.int64) if sizes else np.zeros(0, np.int64)
+        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
         at = np.arange(len(self.words)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
         self.ends = [np.flatnonzero(at >= n) for n in range(3)]
         self.names = [self._named(n) for n in range(3)]
