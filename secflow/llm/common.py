@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,24 +31,30 @@ def mix(keys: np.ndarray) -> np.ndarray:
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending unsigned keys as differences, each in as few bytes as the largest one takes."""
+    """Ascending unsigned keys as differences, each in as few bytes as the largest one takes.
+
+    The highest bytes, which are small and uneven, are entropy-coded; the others of hashed keys cannot be.
+    """
     if not len(keys):
         return b""
     steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
     steps[0] = 0
     width = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    body = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[1:, :width]).tobytes()
-    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + body
+    planes = steps.view(np.uint8).reshape(-1, 8)[1:, :width]
+    low = np.ascontiguousarray(planes[:, :-1]).tobytes()
+    top = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes[:, -1]).tobytes())
+    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + len(planes).to_bytes(8, "little") + low + top
 
 
 def unpack_keys(packed: bytes) -> np.ndarray:
     """The keys that ``pack_keys`` wrote."""
     if not packed:
         return np.zeros(0, np.uint64)
-    width = packed[0]
-    body = np.frombuffer(packed, np.uint8, offset=9).reshape(-1, width)
-    steps = np.zeros((len(body) + 1, 8), np.uint8)
-    steps[1:, :width] = body
+    width, n = packed[0], int.from_bytes(packed[9:17], "little")
+    end = 17 + n * (width - 1)
+    steps = np.zeros((n + 1, 8), np.uint8)
+    steps[1:, : width - 1] = np.frombuffer(packed[17:end], np.uint8).reshape(n, width - 1)
+    steps[1:, width - 1] = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[end:]), np.uint8)
     out = steps.reshape(-1).view("<u8")
     out[0] = int.from_bytes(packed[1:9], "little")
     return np.cumsum(out, dtype=np.uint64)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from secflow.llm import language, merkle, ngram_lm, packing, pieces, pii, simhash, suffix_dedup
+from secflow.llm.common import pack_keys, unpack_keys
 
 LONG = "word " * 40_000
 
@@ -141,6 +142,12 @@ def test_names_of_long_blocks_do_not_depend_on_steps():
     assert names[0] == names[2] != names[1]
 
 
+def test_packed_keys_come_back():
+    r = np.random.default_rng(3)
+    for keys in (np.zeros(0, np.uint64), np.array([7], np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.array([3, 3, 4], np.uint64), np.sort(r.integers(0, 2**64, 9999, dtype=np.uint64))):
+        assert (unpack_keys(pack_keys(keys)) == keys).all()
+
+
 # Language
 
 def test_mixture_finds_both_languages():
