@@ -10,17 +10,70 @@ UNKNOWN_STATUS = "UnknownInteractionStatus"
 UNKNOWN_IMPORTANCE = "UnknownImportanceLevel"
 UNKNOWN_COUNTERPART = "UnknownCounterpart"
 
-# Canonical actions whose device word is the action itself.
-PLAIN_ACTIONS = """
-access alert allow apply backup bind call check clean close configure connect copy create
-decrypt deliver deny detect disable disconnect down download enable encrypt exclude execute
-extract grant info initiate install leak lock login logout modify move open print protect
-quarantine receive reject remove restart revoke rollback scan search send start stop sync
-terminate unbind uninstall unlock up update upgrade upload view
-""".split()
-
-# Other device words for actions.
+# Device words and the canonical action each one stands for.
 ACTION_WORDS = {
+    "access": "access",
+    "alert": "alert",
+    "allow": "allow",
+    "apply": "apply",
+    "backup": "backup",
+    "bind": "bind",
+    "call": "call",
+    "check": "check",
+    "clean": "clean",
+    "close": "close",
+    "configure": "configure",
+    "connect": "connect",
+    "copy": "copy",
+    "create": "create",
+    "decrypt": "decrypt",
+    "deliver": "deliver",
+    "deny": "deny",
+    "detect": "detect",
+    "disable": "disable",
+    "disconnect": "disconnect",
+    "down": "down",
+    "download": "download",
+    "enable": "enable",
+    "encrypt": "encrypt",
+    "exclude": "exclude",
+    "execute": "execute",
+    "extract": "extract",
+    "grant": "grant",
+    "info": "info",
+    "initiate": "initiate",
+    "install": "install",
+    "leak": "leak",
+    "lock": "lock",
+    "login": "login",
+    "logout": "logout",
+    "modify": "modify",
+    "move": "move",
+    "open": "open",
+    "print": "print",
+    "protect": "protect",
+    "quarantine": "quarantine",
+    "receive": "receive",
+    "reject": "reject",
+    "remove": "remove",
+    "restart": "restart",
+    "revoke": "revoke",
+    "rollback": "rollback",
+    "scan": "scan",
+    "search": "search",
+    "send": "send",
+    "start": "start",
+    "stop": "stop",
+    "sync": "sync",
+    "terminate": "terminate",
+    "unbind": "unbind",
+    "uninstall": "uninstall",
+    "unlock": "unlock",
+    "up": "up",
+    "update": "update",
+    "upgrade": "upgrade",
+    "upload": "upload",
+    "view": "view",
     "unknown": UNKNOWN_ACTION,
     "accept": "connect",
     "detected": "detect",
@@ -143,23 +196,28 @@ AUDIT_TYPE_COUNTERPARTS = {
 }
 
 # IP protocol numbers and names (IANA assignment).
-PROTOCOLS = """
-0 HOPOPT, 1 ICMP, 2 IGMP, 3 GGP, 4 IPv4, 5 ST, 6 TCP, 7 CBT, 8 EGP, 9 IGP, 10 BBN-RCC-MON, 11 NVP-II,
-12 PUP, 13 ARGUS, 14 EMCON, 15 XNET, 16 CHAOS, 17 UDP, 18 MUX, 19 DCN-MEAS, 20 HMP, 21 PRM, 22 XNS-IDP,
-23 TRUNK-1, 24 TRUNK-2, 25 LEAF-1, 26 LEAF-2, 27 RDP, 28 IRTP, 29 ISO-TP4, 30 NETBLT, 31 MFE-NSP,
-32 MERIT-INP, 33 DCCP, 34 3PC, 35 IDPR, 36 XTP, 37 DDP, 38 IDPR-CMTP, 39 TP++, 40 IL, 41 IPv6, 42 SDRP,
-43 IPv6-Route, 44 IPv6-Frag, 45 IDRP, 46 RSVP, 47 GRE, 48 DSR, 49 BNA, 50 ESP, 51 AH, 52 I-NLSP,
-53 SWIPE, 54 NARP, 55 MOBILE, 56 TLSP, 57 SKIP, 58 IPv6-ICMP, 59 IPv6-NoNxt, 60 IPv6-Opts, 62 CFTP,
-64 SAT-EXPAK, 65 KRYPTOLAN, 66 RVD, 67 IPPC, 69 SAT-MON, 70 VISA, 71 IPCV, 72 CPNX, 73 CPHB, 74 WSN,
-75 PVP, 76 BR-SAT-MON, 77 SUN-ND, 78 WB-MON, 79 WB-EXPAK, 80 ISO-IP, 81 VMTP, 82 SECURE-VMTP, 83 VINES,
-84 TTP/IPTM, 85 NSFNET-IGP, 86 DGP, 87 TCF, 88 EIGRP, 89 OSPFIGP, 90 Sprite-RPC, 91 LARP, 92 MTP,
-93 AX.25, 94 IPIP, 95 MICP, 96 SCC-SP, 97 ETHERIP, 98 ENCAP, 100 GMTP, 101 IFMP, 102 PNNI, 103 PIM,
-104 ARIS, 105 SCPS, 106 QNX, 107 A/N, 108 IPComp, 109 SNP, 110 Compaq-Peer, 111 IPX-in-IP, 112 VRRP,
-113 PGM, 115 L2TP, 116 DDX, 117 IATP, 118 STP, 119 SRP, 120 UTI, 121 SMP, 122 SM, 123 PTP, 124 ISIS,
-125 FIRE, 126 CRTP, 127 CRUDP, 128 SSCOPMCE, 129 IPLT, 130 SPS, 131 PIPE, 132 SCTP, 133 FC,
-134 RSVP-E2E-IGNORE, 136 UDPLite, 137 MPLS-in-IP, 138 manet, 139 HIP, 140 Shim6, 141 WESP, 142 ROHC,
-143 Ethernet
-"""
+PROTOCOLS = {
+    0: "HOPOPT", 1: "ICMP", 2: "IGMP", 3: "GGP", 4: "IPv4", 5: "ST", 6: "TCP", 7: "CBT", 8: "EGP", 9: "IGP",
+    10: "BBN-RCC-MON", 11: "NVP-II", 12: "PUP", 13: "ARGUS", 14: "EMCON", 15: "XNET", 16: "CHAOS", 17: "UDP",
+    18: "MUX", 19: "DCN-MEAS", 20: "HMP", 21: "PRM", 22: "XNS-IDP", 23: "TRUNK-1", 24: "TRUNK-2", 25: "LEAF-1",
+    26: "LEAF-2", 27: "RDP", 28: "IRTP", 29: "ISO-TP4", 30: "NETBLT", 31: "MFE-NSP", 32: "MERIT-INP",
+    33: "DCCP", 34: "3PC", 35: "IDPR", 36: "XTP", 37: "DDP", 38: "IDPR-CMTP", 39: "TP++", 40: "IL", 41: "IPv6",
+    42: "SDRP", 43: "IPv6-Route", 44: "IPv6-Frag", 45: "IDRP", 46: "RSVP", 47: "GRE", 48: "DSR", 49: "BNA",
+    50: "ESP", 51: "AH", 52: "I-NLSP", 53: "SWIPE", 54: "NARP", 55: "MOBILE", 56: "TLSP", 57: "SKIP",
+    58: "IPv6-ICMP", 59: "IPv6-NoNxt", 60: "IPv6-Opts", 62: "CFTP", 64: "SAT-EXPAK", 65: "KRYPTOLAN", 66: "RVD",
+    67: "IPPC", 69: "SAT-MON", 70: "VISA", 71: "IPCV", 72: "CPNX", 73: "CPHB", 74: "WSN", 75: "PVP",
+    76: "BR-SAT-MON", 77: "SUN-ND", 78: "WB-MON", 79: "WB-EXPAK", 80: "ISO-IP", 81: "VMTP", 82: "SECURE-VMTP",
+    83: "VINES", 84: "TTP/IPTM", 85: "NSFNET-IGP", 86: "DGP", 87: "TCF", 88: "EIGRP", 89: "OSPFIGP",
+    90: "Sprite-RPC", 91: "LARP", 92: "MTP", 93: "AX.25", 94: "IPIP", 95: "MICP", 96: "SCC-SP", 97: "ETHERIP",
+    98: "ENCAP", 100: "GMTP", 101: "IFMP", 102: "PNNI", 103: "PIM", 104: "ARIS", 105: "SCPS", 106: "QNX",
+    107: "A/N", 108: "IPComp", 109: "SNP", 110: "Compaq-Peer", 111: "IPX-in-IP", 112: "VRRP", 113: "PGM",
+    115: "L2TP", 116: "DDX", 117: "IATP", 118: "STP", 119: "SRP", 120: "UTI", 121: "SMP", 122: "SM", 123: "PTP",
+    124: "ISIS", 125: "FIRE", 126: "CRTP", 127: "CRUDP", 128: "SSCOPMCE", 129: "IPLT", 130: "SPS", 131: "PIPE",
+    132: "SCTP", 133: "FC", 134: "RSVP-E2E-IGNORE", 136: "UDPLite", 137: "MPLS-in-IP", 138: "manet", 139: "HIP",
+    140: "Shim6", 141: "WESP", 142: "ROHC", 143: "Ethernet",
+}
+# Two names that share a number, under which either is known.
+PROTOCOL_ALIASES = {"ttp": "TTP/IPTM", "iptm": "TTP/IPTM"}
 
 
 def merge_words(*tables: dict[str, str]) -> dict[str, str]:
@@ -173,14 +231,8 @@ def merge_words(*tables: dict[str, str]) -> dict[str, str]:
 
 
 def protocol_words() -> dict[str, str]:
-    words: dict[str, str] = {}
-    for entry in PROTOCOLS.replace("\n", " ").split(","):
-        number, name = entry.split()
-        words[number] = name
-        # 84 is one entry that stands for two names.
-        for alias in name.split("/") if number == "84" else [name]:
-            words[alias.lower()] = name
-    return words
+    numbers = {str(number): name for number, name in PROTOCOLS.items()}
+    return {**numbers, **{name.lower(): name for name in PROTOCOLS.values() if "TTP" not in name}, **PROTOCOL_ALIASES}
 
 
 def _literal_map(words: dict[str, str]) -> Column:
@@ -194,7 +246,7 @@ def lookup(value: Column, words: dict[str, str], unknown: str | None) -> Column:
     return found if unknown is None else F.coalesce(found, F.lit(unknown))
 
 
-ACTIONS = merge_words({word: word for word in PLAIN_ACTIONS}, ACTION_WORDS, AUDIT_TYPE_ACTIONS)
+ACTIONS = merge_words(ACTION_WORDS, AUDIT_TYPE_ACTIONS)
 COUNTERPARTS = merge_words(COUNTERPART_WORDS, AUDIT_TYPE_COUNTERPARTS)
 
 

@@ -150,8 +150,9 @@ def grok_values(text: Column, pattern: str, patterns: dict[str, str] | None = No
     per row no matter how many fields it has.
     """
     regex, fields = compile_grok(pattern, patterns)
+    # A sender's own mark would shift the fields or feign a match; it becomes a blank.
     rewritten = F.regexp_replace(
-        text,
+        F.translate(text, FIELD_MARK, " "),
         F.lit(r"^[\s\S]*?(?:" + regex + r")[\s\S]*$"),
         F.lit(FIELD_MARK + FIELD_MARK.join(f"${{f{i}}}" for i in range(len(fields)))),
     )

@@ -52,9 +52,15 @@ class Layers:
 
 
 def _tuple_key(columns: list[str]) -> Column:
+    """The keys of an event as one text; the path joins its segments with marks, other keys have none."""
     return F.concat_ws(MARK, *[F.coalesce(F.col(c), F.lit(ABSENT)) for c in columns])
 
 
+def _unmarked(key: Column) -> Column:
+    """A key without the separating character, with which a sender could feign another key."""
+    return F.translate(key, MARK, " ")
+
+
 def keyed_rules(rules: DataFrame, layers: Layers, payload: list[str]) -> DataFrame:
     """One row per rule and combination of its exact keys; absent keys are the wildcard."""
     out = rules.withColumn("_rule", F.struct("rule_id", *payload, *[
@@ -71,11 +77,11 @@ def keyed_rules(rules: DataFrame, layers: Layers, payload: list[str]) -> DataFra
 
 def _event_columns(layers: Layers) -> dict[str, Column]:
     columns = {
-        f"e_{layer.name}_{i}": key
+        f"e_{layer.name}_{i}": _unmarked(key)
         for layer in layers.exact for i, key in enumerate(layer.event_keys)
     }
     if layers.event_path is not None:
-        columns["e_path"] = F.array_join(path_segments(layers.event_path), MARK)
+        columns["e_path"] = F.array_join(path_segments(_unmarked(layers.event_path)), MARK)
     return columns
 
 

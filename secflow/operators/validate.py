@@ -1,4 +1,7 @@
-"""Validation: a ruleset is a list of (message, predicate) plus conditional groups of them."""
+"""Validation: a ruleset is a list of (message, predicate) plus conditional groups of them.
+
+Fixed values: the message texts, spelling included, and the lists of ids are output values.
+"""
 
 from __future__ import annotations
 

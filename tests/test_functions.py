@@ -117,6 +117,12 @@ def test_grok_compiles_nested_patterns_and_duplicate_fields(spark):
         grok.compile_grok("%{MISSING}")
 
 
+def test_marks_in_a_text_feign_nothing(spark):
+    known = {"A": "[a-z]+", "N": "[0-9]+", "P": "%{A:word}-%{N:num}"}
+    assert values(spark, grok.parse_grok(F.lit("\x01ab\x0112"), "%{P}", known), grok.parse_grok(F.lit("\x01ab-1\x01"), "%{P}", known),
+                  ) == [{}, {"word": "ab", "num": "1"}]
+
+
 def test_ids(spark):
     assert values(spark, ids.content_id(F.lit("abc")), ids.md5_id(F.lit("a"), F.lit("b"))) == [
         "8eb208f7e05d987a9b044a8e98c6b087f15a0bfc", "187ef4436122d1cc2f40dc2b92f0eba0"]
