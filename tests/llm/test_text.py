@@ -380,12 +380,21 @@ def test_nbest_against_all_segmentations():
 def test_long_units_and_batches_agree():
     model = pieces.model()
     for unit in ["▁" + "abcab" * 6, "▁the", "▁▁▁x", "▁" + "q" * 60, "▁é漢字"]:
-        model.known.clear()
-        model.learn({unit})
-        score, loss, ids = model.known[unit]
+        model.forget()
+        score, loss, ids, _ = model.best([unit])
         first = model.nbest(unit, 2)
-        assert (score, ids) == (first[0][0], model.ids_of(unit, first[0][1]))
-        assert loss == (first[0][0] - first[1][0] if len(first) > 1 else np.inf)
+        assert (score, tuple(ids.tolist())) == (first[0][0], model.ids_of(unit, first[0][1]))
+        assert loss[0] == (first[0][0] - first[1][0] if len(first) > 1 else np.inf)
+
+
+def test_memory_that_is_emptied_in_between(monkeypatch):
+    model, r = pieces.model(), random.Random(16)
+    texts = [" ".join("".join(r.choices("aehnt", k=r.randint(1, 6))) for _ in range(60)) for _ in range(20)]
+    want = [model.encode(x, 3) for x in texts]
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    model.forget()
+    assert [model.encode(x, 3) for x in texts] == want
+    model.forget()
 
 
 def test_encoded_documents(spark):
