@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.tables import E_SQL, ORG, canonical, dimensions, events, s, table
 from secflow.functions.net import is_ip, is_private_ip
 from secflow.operators import dims as D
-from secflow.operators.controls import control
+from secflow.operators.controls import CONTROLS, control
 from secflow.operators.geo import enrich_geo, geo_lookup
 from secflow.operators.schedule import schedule_flags
 from secflow.operators.stats import enrichment_stats
@@ -440,3 +440,32 @@ def geo_statistics(spark, folder):
     df = who_event(spark, folder, source__ip=F.expr(SRC_IP), destination__ip=F.expr(DST_IP),
                    eventSource__title="p")
     return enrichment_stats(enrich_geo(df, city, country)).select("organization", "geo_hit", "geo_miss")
+
+
+def _verdict_sql(kind: int, name: str) -> str:
+    flag = "CASE v.verdict WHEN 'Allowed' THEN true WHEN 'Restricted' THEN false END"
+    return (f"SELECT e.event_id, {flag} AS flag FROM (SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events) e"
+            f" JOIN ({SQL[name]}) v USING (event_id) WHERE e.k % 3 = {kind}")
+
+
+@query(" UNION ALL ".join(_verdict_sql(k, name) for k, name in enumerate(
+    ("control_windows_logon", "control_vpn", "control_connection"))))
+def enriched_verdicts(spark, folder):
+    """The verdict flag of each event after the whole job, over logon, VPN and firewall events in one frame."""
+    def part(n, expr):
+        return F.when(F.col("k") % 3 == n, F.expr(expr))
+
+    df = who_event(
+        spark, folder,
+        subject__domain=F.expr("if(k % 3 = 1, concat('Dom', k % 3), concat('DOM', k % 3))"),
+        subject__name=F.expr("if(k % 3 = 1, concat('U', user_id % 60), concat('u', user_id % 60))"),
+        interaction__action=F.coalesce(part(0, "'login'"), part(1, "if(event_type = 'click', 'down', 'up')")),
+        interaction__logonType=part(0, "k % 12"), object__category=part(0, "'host'"), data__aux9=part(1, "'vpn'"),
+        eventSource__category=part(2, "'Firewall'"), source__port=part(2, "k * 30"),
+        destination__port=part(2, "cast(cents % 600 as int)"), interaction__protocol=part(2, "if(k % 2 = 0, 'TCP', 'UDP')"))
+    city, country = geo_tables(spark, folder)
+    dims = staff_dims(spark, folder)
+    done = enrich_job(df, city, country, D.denorm_rules(dims), D.logins(dims), dims["schedule"], holidays(spark, folder))
+    kinds = ("windows_logon", "vpn_logon", "connection")
+    flags = [F.when(F.col("k") % 3 == n, F.col("event.subject.enrichment")[CONTROLS[kind].flag]) for n, kind in enumerate(kinds)]
+    return done.select("event_id", F.coalesce(*flags).alias("flag"))
