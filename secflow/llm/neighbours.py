@@ -119,8 +119,11 @@ def nearest(
     """
     spark = vectors.sparkSession
 
+    # Vectors travel as they are given, in single precision too; they are scored in double precision.
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+
     def given(df: DataFrame) -> DataFrame:
-        return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
+        return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
 
     sizes = given(vectors).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -160,8 +163,8 @@ def nearest(
                     part = rows.iloc[np.repeat(np.arange(i, i + len(found)), found.shape[1])]
                     yield part.assign(t=t, bucket=found.ravel())
 
-    filed = base.mapInPandas(index, "h long, h2 long, ids array<long>, v array<double>, t int, bucket long")
-    sought = texts.mapInPandas(probe, "h long, h2 long, v array<double>, t int, bucket long")
+    filed = base.mapInPandas(index, f"h long, h2 long, ids array<long>, v {kind}, t int, bucket long")
+    sought = texts.mapInPandas(probe, f"h long, h2 long, v {kind}, t int, bucket long")
     # How many chunks each bucket has on either side: one row for each bucket.
     held = filed.groupBy("t", "bucket").agg(F.ceil(F.count("*") / VECTORS).cast("int").alias("n"))
     wanted = sought.groupBy("t", "bucket").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("m"))
