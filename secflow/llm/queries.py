@@ -64,7 +64,7 @@ def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best segmentation of each text into pieces, the scores of the 4 best, and the round trip."""
-    return pieces.digest(pieces.encode_documents(table(spark, sf_dir, "documents")))
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

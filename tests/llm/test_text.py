@@ -6,6 +6,7 @@ import hashlib
 import json
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -232,8 +233,6 @@ def test_packed_documents(spark):
         ids = [*whole.encode(text or "", add_special_tokens=False).ids, 0]
         own = sorted(by_doc[i], key=lambda r: r.piece)
         assert [x for r in own for x in r.ids] == ids and all(r.length == 2048 for r in own[1:])
-        import zlib
-
         assert [r.ids_crc32 for r in own] == [zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in own]
         assert [r.start for r in own] == np.cumsum([0, *[r.length for r in own]])[:-1].tolist()
     for own in by_sequence.values():
@@ -399,8 +398,13 @@ def test_memory_that_is_emptied_in_between(monkeypatch):
 
 def test_encoded_documents(spark):
     texts = [None, "", *invented(20, 15), LONG, "▁ own sign", "\x00\x01 \U0001f600"]
-    encoded = pieces.encode_documents(frame(spark, texts, ids="clash", scores="clash"))
-    rows = {r.doc_id: r for r in pieces.digest(encoded).collect()}
-    assert all(rows[i].round_trip for i in range(len(texts))) and rows[0].n_pieces == rows[1].n_pieces == 0
+    encoded = pieces.encode_documents(frame(spark, texts, ids="clash", scores="clash"), with_decoded=True)
+    rows = {r.doc_id: r for r in encoded.collect()}
+    assert all(rows[i].round_trip and rows[i].decoded == (texts[i] or "").replace("▁", " ") for i in range(len(texts)))
+    assert rows[0].n_pieces == rows[1].n_pieces == 0
+    for i in (4, 10):
+        score, ids = pieces.model().encode(texts[i], 1)[0]
+        assert (rows[i].ids, rows[i].n_pieces, rows[i].scores[0]) == (ids, len(ids), score)
+        assert rows[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
     assert json.dumps(rows[0].scores) == "[0.0]"
     assert pieces.encode_documents(frame(spark, [])).count() == 0
