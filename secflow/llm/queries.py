@@ -63,7 +63,7 @@ def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best segmentation of each text into pieces, the scores of the 4 best, and the round trip."""
+    """The 4 best segmentations of each text into pieces: score, number and digest of the ids, and the round trip of each."""
     return pieces.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 

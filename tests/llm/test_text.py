@@ -408,3 +408,14 @@ def test_encoded_documents(spark):
         assert rows[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
     assert json.dumps(rows[0].scores) == "[0.0]"
     assert pieces.encode_documents(frame(spark, [])).count() == 0
+
+
+def test_each_of_the_best_segmentations_has_ids_and_a_digest(spark):
+    texts = [None, "", "the cat  sat é漢x", *invented(12, 17), "word " * 3000]
+    whole = {r.doc_id: r.segmentations for r in pieces.encode_documents(frame(spark, texts)).collect()}
+    digests = {r.doc_id: r.segmentations for r in pieces.encode_documents(frame(spark, texts), with_ids=False).collect()}
+    for i, text in enumerate(texts):
+        want = pieces.model().encode(text or "", 4)
+        assert [(x.score, x.ids) for x in whole[i]] == want and len({tuple(x.ids) for x in whole[i]}) == len(want)
+        assert [tuple(x) for x in digests[i]] == [(score, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True) for score, ids in want]
+    assert len(whole[2]) == 4 and len(whole[0]) == len(whole[1]) == 1
