@@ -3,12 +3,14 @@
 A pseudo-rotation (three rounds of random signs and a fast Hadamard transform) turns a unit vector; its hash is the
 nearest signed axis, that is the coordinate of largest size and its sign. A bucket joins the hashes of one or two
 rotations; several tables with rotations of their own hold every vector. A query probes, in each table, the buckets
-whose axes are nearest after its own, by the size of the coordinates it would have to give up. Candidates are scored
-exactly, in double precision, on the original vectors.
+whose axes are nearest after its own, by the size of the coordinates it would have to give up, until those probed hold
+as many vectors as it wants, which is more than ``k``; so a query far from all others, or one among few, goes through
+as many buckets as that takes, all of them in the end. Candidates are scored exactly, in double precision, on the
+original vectors.
 
 Equal vectors are hashed once: they share their distances, so only the smallest ids of each distinct vector can be
-among the nearest. Buckets that hold many vectors or many probes are cut into chunks, and each pair of chunks is scored
-by itself, so no bucket is ever in one task as a whole, and none is left out. A pair of chunks returns the nearest few
+among the nearest. Cells of buckets that hold many vectors or many probes are cut into chunks, and each pair of chunks is scored
+by itself, so no large cell is ever in one task as a whole, and none is left out. A pair of chunks returns the nearest few
 for each query, not its candidates.
 """
 
@@ -25,6 +27,8 @@ from secflow.llm.common import checkpoint
 
 #: Vectors and probes of one bucket that are scored in one piece.
 VECTORS, PROBES = 2048, 256
+#: What a query goes through in each table: so many vectors, this share of all besides, and so many buckets at least.
+AHEAD, SHARE, PROBED = 256, 0.01, 8
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -62,6 +66,22 @@ class Tables:
             out = out * self.axes + self.turned(x, table, part).argmax(axis=1)
         return out
 
+    def filled(self, x: np.ndarray, table: int, held: np.ndarray, wanted: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``x``, bucket) of each probe into a bucket that holds vectors; ``held`` counts those of all buckets.
+
+        Buckets come by their loss, ``least`` of them at least, until they hold ``wanted`` vectors or none is left.
+        """
+        losses = np.zeros((len(x), 1))
+        for part in range(self.parts):
+            sizes = self.turned(x, table, part)
+            loss = (sizes.max(axis=1, keepdims=True) - sizes) ** 2
+            losses = (losses[:, :, None] + loss[:, None]).reshape(len(x), -1)
+        order = np.argsort(losses, axis=1, kind="stable")
+        there = held[order]
+        before = np.cumsum(there, axis=1) - there
+        rows, at = np.nonzero(((before < wanted) | (np.arange(order.shape[1]) < least)) & (there > 0))
+        return rows, order[rows, at]
+
     def probes(self, x: np.ndarray, table: int, n: int) -> np.ndarray:
         """The ``n`` buckets of each vector with the least squared loss against its own axes, its own bucket first."""
         losses, names = np.zeros((len(x), 1)), np.zeros((len(x), 1), np.int64)
@@ -92,18 +112,17 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def settings(n: int) -> tuple[int, int, int]:
-    """(tables, parts, probes) for ``n`` distinct vectors, so that buckets stay small.
+def settings(dims: int) -> tuple[int, int, int]:
+    """(tables, parts, least probes) for vectors of ``dims`` dimensions, whatever their number.
 
-    Recall of the 10 nearest, measured on 51 282 vectors without clusters, the worst case for hashing: 0.98, 0.98 and
-    0.90 from 36, 17 and 5 % of the vectors; on 10 256 such vectors the first has 0.97. Among fewer vectors the
-    nearest are farther away, so more buckets are probed.
+    Two axes make a bucket as long as there are no more buckets than a query can put in order.
     """
-    if n <= 8_000:
-        return 16, 1, 16
-    if n <= 200_000:
-        return 16, 1, 4
-    return (16, 2, 160) if n <= 20_000_000 else (16, 3, 3000)
+    return (16, 2, PROBED) if dims <= 128 else (16, 1, PROBED)
+
+
+def wanted(n: int, k: int) -> int:
+    """How many vectors a query's buckets hold in each table, of ``n`` distinct ones: the same rule at every size."""
+    return max(k + 1, AHEAD + int(n * SHARE))
 
 
 def nearest(
@@ -113,8 +132,8 @@ def nearest(
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest rows of ``vectors`` found for each row of ``queries``.
 
     Both have ``id_col`` and ``vector_col``; other columns are not read. Nearness is the smallest Euclidean distance;
-    ties go to the smaller id; the query's own id is no candidate. All candidates come, if there are fewer than ``k``
-    in the probed buckets and elsewhere. Vectors that are null, zero or hold a null or non-finite component, and rows
+    ties go to the smaller id; the query's own id is no candidate. Every query gets ``k`` rows, or all candidates if
+    there are fewer. ``config`` are tables, parts of a bucket and buckets probed at least. Vectors that are null, zero or hold a null or non-finite component, and rows
     of null id, take no part; nor do vectors of another length than the most frequent one. Repeated rows count once.
     """
     spark = vectors.sparkSession
@@ -145,8 +164,14 @@ def nearest(
         distinct(given(queries), None).withColumn("q", F.struct("h", "h2"))
     )
     texts = asked.groupBy("h", "h2").agg(F.first("v").alias("v"))
-    tables, parts, probes = config or settings(base.count())
+    tables, parts, least = config or settings(dims)
     plan = Tables(dims, tables, parts)
+    buckets = plan.axes**parts
+    size = base.count()
+    many, step = wanted(size, k), max(1, (1 << 20) // buckets)
+    # Neighbouring buckets travel as one cell of about ``VECTORS`` vectors: that deals out the work, and changes no result.
+    span = min(buckets, 1 << max(0, (VECTORS * buckets // max(1, size)).bit_length() - 1))
+    cells = buckets // span
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -158,22 +183,31 @@ def nearest(
         for rows in batches:
             x = unit(matrix(rows["v"]))
             for t in range(tables):
-                for i in range(0, len(rows), 1000):
-                    found = plan.probes(x[i : i + 1000], t, probes)
-                    part = rows.iloc[np.repeat(np.arange(i, i + len(found)), found.shape[1])]
-                    yield part.assign(t=t, bucket=found.ravel())
+                for i in range(0, len(rows), step):
+                    at, found = plan.filled(x[i : i + step], t, occupied[t], many, least)
+                    cell = at * cells + found // span
+                    order = np.argsort(cell, kind="stable")
+                    cuts = np.flatnonzero(np.diff(cell[order])) + 1
+                    first = cell[order][np.append(0, cuts)]
+                    yield rows.iloc[i + first // cells].assign(t=t, cell=first % cells, inside=np.split((found % span)[order], cuts))
 
     filed = base.mapInPandas(index, f"h long, h2 long, ids array<long>, v {kind}, t int, bucket long")
-    sought = texts.mapInPandas(probe, f"h long, h2 long, v {kind}, t int, bucket long")
-    # How many chunks each bucket has on either side: one row for each bucket.
-    held = filed.groupBy("t", "bucket").agg(F.ceil(F.count("*") / VECTORS).cast("int").alias("n"))
-    wanted = sought.groupBy("t", "bucket").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("m"))
-    chunks = checkpoint(held.join(wanted, ["t", "bucket"]))
-    left = filed.join(chunks, ["t", "bucket"]).withColumn("x", F.pmod(F.xxhash64("h2", "h"), F.col("n"))).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    right = sought.join(chunks, ["t", "bucket"]).withColumn("y", F.pmod(F.xxhash64("h2", "h"), F.col("m"))).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    cell = [F.col("t"), F.col("bucket"), F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y")]
-    left = left.select(*cell, "ids", "v").groupBy("t", "bucket", "x", "y")
-    right = right.select(*cell, "h", "h2", "v").groupBy("t", "bucket", "x", "y")
+    # How many vectors each bucket holds: there are as many numbers as buckets, however many vectors.
+    full = filed.groupBy("t", "bucket").agg(F.count("*").cast("int").alias("c"))
+    occupied = np.zeros((tables, buckets), np.int32)
+    counts = full.toPandas()
+    occupied[counts["t"], counts["bucket"]] = counts["c"]
+    sought = texts.mapInPandas(probe, f"h long, h2 long, v {kind}, t int, cell long, inside array<int>")
+    filed = filed.withColumn("cell", F.floor(F.col("bucket") / span)).withColumn("inside", (F.col("bucket") % span).cast("int"))
+    # How many chunks each cell has on either side: one row for each cell.
+    held = filed.groupBy("t", "cell").agg(F.ceil(F.count("*") / VECTORS).cast("int").alias("n"))
+    asking = sought.groupBy("t", "cell").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("m"))
+    chunks = checkpoint(held.join(asking, ["t", "cell"]))
+    left = filed.join(chunks, ["t", "cell"]).withColumn("x", F.pmod(F.xxhash64("h2", "h"), F.col("n"))).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    right = sought.join(chunks, ["t", "cell"]).withColumn("y", F.pmod(F.xxhash64("h2", "h"), F.col("m"))).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    place = [F.col("t"), F.col("cell"), F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y")]
+    left = left.select(*place, "inside", "ids", "v").groupBy("t", "cell", "x", "y")
+    right = right.select(*place, "inside", "h", "h2", "v").groupBy("t", "cell", "x", "y")
 
     def score(there: pd.DataFrame, probing: pd.DataFrame) -> pd.DataFrame:
         """The nearest rows of one chunk for each query that probes it: enough for k of other ids."""
@@ -181,11 +215,15 @@ def nearest(
             return pd.DataFrame({"h": [], "h2": [], "vec_id": [], "score": []})
         x, q = matrix(there["v"]), matrix(probing["v"])
         ids, first = there["ids"].tolist(), np.array([v[0] for v in there["ids"]])
+        bucket, probed = there["inside"].to_numpy(), probing["inside"].tolist()
         out = []
         for i in range(len(q)):
-            far = np.sqrt(((x - q[i]) ** 2).sum(axis=1))
-            order = np.lexsort((first, far))[: k + 1]
-            pairs = sorted((float(far[j]), int(v)) for j in order for v in ids[j])
+            asked = np.zeros(span, bool)
+            asked[probed[i]] = True
+            here = np.flatnonzero(asked[bucket])
+            far = np.sqrt(((x[here] - q[i]) ** 2).sum(axis=1))
+            order = np.lexsort((first[here], far))[: k + 1]
+            pairs = sorted((float(far[j]), int(v)) for j in order for v in ids[here[j]])
             out += [(probing["h"].iat[i], probing["h2"].iat[i], v, s) for s, v in pairs[: k + 1]]
         return pd.DataFrame(out, columns=["h", "h2", "vec_id", "score"])
 

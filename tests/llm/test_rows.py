@@ -68,6 +68,31 @@ def test_few_or_no_vectors(spark):
     assert [(x.query_id, x.vec_id) for x in neighbours.nearest(two, two.filter("vec_id = 0")).collect()] == [(0, 1)]
 
 
+def nearest_of(spark, x, asked, k=10):
+    """What is found for the rows ``asked``, and the share of the true nearest that is among it."""
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(vectors, vectors.filter(F.col("vec_id").isin(asked)), k=k).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    hits = 0
+    for q in asked:
+        far = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        hits += len(set(np.argsort(far)[:k].tolist()) & set(got.get(q, [])))
+    return got, hits / (k * len(asked))
+
+
+def test_all_candidates_come_if_they_are_few_or_far(spark):
+    r = np.random.default_rng(7)
+    five = r.normal(size=(5, 64))
+    few = np.vstack([five, -five[:1]])  # and the opposite of the first
+    got, _ = nearest_of(spark, few, [0, 1])
+    assert {q: sorted(v) for q, v in got.items()} == {0: [1, 2, 3, 4, 5], 1: [0, 2, 3, 4, 5]}
+    hot = np.vstack([r.normal(size=(4, 64)), r.normal(size=64) + 0.001 * r.normal(size=(9000, 64))])  # four queries, one tight cluster away from them
+    got, recall = nearest_of(spark, hot, [0, 1, 2, 3])
+    assert all(len(got[q]) == 10 for q in range(4))
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
 def test_recall_on_the_table(spark):
     rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id", "embedding").collect()
