@@ -93,6 +93,33 @@ def test_all_candidates_come_if_they_are_few_or_far(spark):
     assert all(len(got[q]) == 10 for q in range(4))
 
 
+@pytest.mark.parametrize("ahead", [neighbours.AHEAD, 0])  # 0: what is left of the rule for very many vectors
+@pytest.mark.parametrize("clusters, radius", [(0, 0), (20, 0.3), (2, 0.1)])
+def test_recall_of_the_one_rule(monkeypatch, ahead, clusters, radius):
+    monkeypatch.setattr(neighbours, "AHEAD", ahead)
+    r, n, dims, k = np.random.default_rng(8), 20_000, 64, 10
+    x = r.normal(size=(n, dims))
+    if clusters:
+        x = neighbours.unit(r.normal(size=(clusters, dims)))[r.integers(0, clusters, n)] + radius * x / 8
+    tables, parts, least = neighbours.settings(dims)
+    plan, asked, u = neighbours.Tables(dims, tables, parts), np.arange(0, n, 500), neighbours.unit(x)
+    found = np.zeros((len(asked), n), bool)
+    for t in range(tables):
+        bucket = plan.bucket(u, t)
+        rows, probed = plan.filled(u[asked], t, np.bincount(bucket, minlength=plan.axes**parts), neighbours.wanted(n, k), least)
+        inside = np.zeros((len(asked), plan.axes**parts), bool)
+        inside[rows, probed] = True
+        found |= inside[:, bucket]
+    hits = 0
+    for i, q in enumerate(asked):
+        far = ((x - x[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += found[i, np.argsort(far)[:k]].sum()
+    recall = hits / (k * len(asked))
+    print(f"recall {recall:.3f} from {found.mean():.2f}")
+    assert recall >= (0.95 if clusters or ahead else 0.85)  # the last is less than the rule asks for at this size
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
 def test_recall_on_the_table(spark):
     rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id", "embedding").collect()
