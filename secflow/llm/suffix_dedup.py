@@ -18,7 +18,8 @@ for each key range, and gets back bits in the same order; so a passage that a th
 key for a block, and no key range depends on how often a key occurs.
 
 Names are 64-bit hashes; equal bytes always get equal names. Different bytes get equal names with a probability of
-about 2**-58 for each pair.
+about 2**-58 for each pair, so each match of steps 2 and 3 is verified in a round of its own: matched suffixes and those
+they match, no others, get a second, independent 64-bit name, and a match stays only if that occurs earlier too.
 """
 
 from __future__ import annotations
@@ -45,6 +46,9 @@ STEP = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C17
 _LETTERS = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64)
+#: Those of the second names, which are independent of the first.
+_BASE_2 = 0xC2B2AE3D27D4EB4F
+_LETTERS_2 = np.random.default_rng(20240301).integers(0, 2**64, 256, dtype=np.uint64)
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -81,17 +85,18 @@ class Block:
         ends = np.repeat(np.repeat(self.starts + self.sizes, periods), len(COVER))
         return positions[positions + depth <= ends]
 
-    def names(self, positions: np.ndarray, depth: int) -> np.ndarray:
-        """64-bit names of the ``depth`` bytes at each of the ascending positions."""
+    def names(self, positions: np.ndarray, depth: int, second: bool = False) -> np.ndarray:
+        """64-bit names of the ``depth`` bytes at each of the ascending positions; the second ones if asked for."""
+        base, letters = (_BASE_2, _LETTERS_2) if second else (_BASE, _LETTERS)
         out = np.empty(len(positions), np.uint64)
         cuts = np.searchsorted(positions, np.arange(0, len(self.data) + STEP, STEP))
-        power, inverse = _powers(_BASE, STEP + depth), _powers(pow(_BASE, -1, 2**64), STEP + depth)
+        power, inverse = _powers(base, STEP + depth), _powers(pow(base, -1, 2**64), STEP + depth)
         for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if i == j:
                 continue
             part = self.data[k * STEP : (k + 1) * STEP + depth]
             prefix = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_LETTERS[part] * power[: len(part)], out=prefix[1:])
+            np.cumsum(letters[part] * power[: len(part)], out=prefix[1:])
             at = positions[i:j] - k * STEP
             out[i:j] = mix((prefix[at + depth] - prefix[at]) * inverse[at])
         return out
@@ -134,7 +139,7 @@ def _covered(n: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
 
 
 class Rounds:
-    """The three rounds of a block, as far as the replies at hand carry them."""
+    """The rounds of a block, as far as the replies at hand carry them."""
 
     def __init__(self, block: Block, length: int, owners: int, replies: dict[int, dict[int, tuple[bytes, bytes]]]):
         self.block, self.length, self.owners, self.replies = block, length, owners, replies
@@ -153,10 +158,24 @@ class Rounds:
         positions = self.kin[self.kin + depth <= self.block.ends(self.kin)] if len(self.kin) else self.kin
         return Names(positions, self.block.names(positions, depth), self.owners)
 
+    def _again(self, names: Names, number: int, depth: int) -> tuple[Names, np.ndarray]:
+        """Second names where the first names of a round occur more than once; and which of those occur earlier."""
+        earlier, other = names.replies(self.replies.get(number, {}))
+        positions = names.positions[earlier | other]
+        return Names(positions, self.block.names(positions, depth, True), self.owners), earlier[earlier | other]
+
+    def _agreed(self, again: tuple[Names, np.ndarray], number: int) -> np.ndarray:
+        """Positions that occur earlier by both names."""
+        names, earlier = again
+        return names.positions[earlier & names.replies(self.replies.get(number, {}))[0]]
+
+    def deep_again(self) -> tuple[Names, np.ndarray]:
+        """Round 2: second names of the suffixes that round 1 has matched."""
+        return self._again(self.deep(), 1, self.length + PERIOD - 1)
+
     def rest(self) -> Names:
-        """Round 2: all suffixes near a repeated short name that round 1 has not settled."""
-        deep, n = self.deep(), len(self.block.data)
-        known = deep.positions[deep.replies(self.replies.get(1, {}))[0]]
+        """Round 3: all suffixes near a repeated short name that rounds 1 and 2 have not settled."""
+        known, n = self._agreed(self.deep_again(), 2), len(self.block.data)
         self.settled = _covered(n, known, known + PERIOD)
         near = _covered(n, np.maximum(self.kin - PERIOD + 1, 0), self.kin + 1) & ~self.settled
         positions = np.flatnonzero(near)
@@ -164,10 +183,14 @@ class Rounds:
             positions = positions[positions + self.length <= self.block.ends(positions)]
         return Names(positions, self.block.names(positions, self.length), self.owners)
 
+    def rest_again(self) -> tuple[Names, np.ndarray]:
+        """Round 4: second names of the suffixes that round 3 has matched."""
+        return self._again(self.rest(), 3, self.length)
+
     def removed(self) -> np.ndarray:
         """For each byte of the block: whether a repeated prefix covers it."""
-        rest = self.rest()
-        self.settled[rest.positions[rest.replies(self.replies.get(2, {}))[0]]] = True
+        found = self._agreed(self.rest_again(), 4)
+        self.settled[found] = True
         starts = np.flatnonzero(self.settled)
         return _covered(len(self.block.data), starts, starts + self.length)
 
@@ -258,7 +281,8 @@ def repeated_spans(
             if not len(group):
                 return _MESSAGE.empty_table()
             rounds = Rounds(Block(_ordered(group)[1]), length, owners, _replied(replies) if replies is not None else {})
-            rows = list(getattr(rounds, step)().messages())
+            names = getattr(rounds, step)()
+            rows = list((names[0] if isinstance(names, tuple) else names).messages())
             number = group["block"][0].as_py()
             return pa.Table.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
@@ -274,7 +298,7 @@ def repeated_spans(
     first = send("short")
     sent = by_block.applyInArrow(lambda key, group: first(key, group), "owner int, block int, keys binary")
     replies = answered(sent, 0)
-    for number, step in ((1, "deep"), (2, "rest")):
+    for number, step in ((1, "deep"), (2, "deep_again"), (3, "rest"), (4, "rest_again")):
         sent = by_block.cogroup(replies.groupBy("block")).applyInArrow(send(step), "owner int, block int, keys binary")
         replies = replies.unionByName(answered(sent, number))
 

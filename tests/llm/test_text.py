@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -419,3 +420,27 @@ def test_each_of_the_best_segmentations_has_ids_and_a_digest(spark):
         assert [(x.score, x.ids) for x in whole[i]] == want and len({tuple(x.ids) for x in whole[i]}) == len(want)
         assert [tuple(x) for x in digests[i]] == [(score, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True) for score, ids in want]
     assert len(whole[2]) == 4 and len(whole[0]) == len(whole[1]) == 1
+
+
+def test_suffix_matches_by_first_name_alone_are_dropped(monkeypatch):
+    names = suffix_dedup.Block.names
+    r = random.Random(18)
+    say = lambda n: bytes(r.choices(range(97, 123), k=n))
+    same, short = say(300), say(110)
+    texts = [say(400) + same, same + say(400), say(300) + short, short + say(300)]
+    # First names of 6 bits: nearly every suffix seems to occur earlier.
+    monkeypatch.setattr(suffix_dedup.Block, "names", lambda self, at, depth, second=False: names(self, at, depth, second) if second else suffix_dedup.mix(names(self, at, depth) >> np.uint64(58)))
+    blocks, replies = [suffix_dedup.Block(texts[:2]), suffix_dedup.Block(texts[2:])], {0: {}, 1: {}}
+    rounds = lambda k: suffix_dedup.Rounds(blocks[k], 100, 1, replies[k])
+    for number, step in enumerate(("short", "deep", "deep_again", "rest", "rest_again")):
+        sent = []
+        for k in (0, 1):
+            found = getattr(rounds(k), step)()
+            sent += [(owner, k, keys) for owner, keys in (found[0] if isinstance(found, tuple) else found).messages()]
+        table = pa.table({name: [x[i] for x in sent] for i, name in enumerate(("owner", "block", "keys"))})
+        for row in suffix_dedup._compare(table.cast(suffix_dedup._MESSAGE)).to_pylist():
+            replies[row["block"]].setdefault(number, {})[row["owner"]] = (row["earlier"], row["other"])
+    gone = np.concatenate([rounds(k).removed() for k in (0, 1)])
+    want = np.zeros(len(gone), bool)
+    want[700:1000] = want[1400 + 410 : 1400 + 410 + 110] = True
+    assert (gone == want).all()
