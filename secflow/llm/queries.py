@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from secflow.llm import chat, language, merkle, neighbours, ngram_lm, packing, pieces, pii, simhash, suffix_dedup
+from secflow.llm import (
+    alignment, chat, decontaminate, language, merkle, neighbours, ngram_lm, packing, periodic, pieces, pii, simhash, suffix_dedup,
+)
 from secflow.llm.common import table
 
 
@@ -73,6 +75,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.with_spans(docs))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in each document, and how common the linked pairs are."""
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in each document, a tenth of which are made periodic first."""
+    return periodic.digest(periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=periodic.planted))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that are under windows of benchmark items."""
+    return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_chat": op2_chat,
@@ -84,7 +101,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merkle": op8_merkle,
     "op9_pieces": op9_pieces,
     "op10_pii": op10_pii,
+    "op11_alignment": op11_alignment,
+    "op12_periodic": op12_periodic,
+    "op13_decontaminate": op13_decontaminate,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {"op2_chat": chat.SQL, "op6_ngram_lm": ngram_lm.SQL}
+SQL: dict[str, str] = {"op2_chat": chat.SQL, "op6_ngram_lm": ngram_lm.SQL, "op12_periodic": periodic.SQL, "op13_decontaminate": decontaminate.SQL}
