@@ -469,3 +469,45 @@ def enriched_verdicts(spark, folder):
     kinds = ("windows_logon", "vpn_logon", "connection")
     flags = [F.when(F.col("k") % 3 == n, F.col("event.subject.enrichment")[CONTROLS[kind].flag]) for n, kind in enumerate(kinds)]
     return done.select("event_id", F.coalesce(*flags).alias("flag"))
+
+
+# Rules with many ranges -----------------------------------------------------------------------
+# One organization, no other key: for each order a rule with a port or a few, and wide ranges among
+# them, so that many points lie in several rules.
+
+MANY_SQL = """many AS (SELECT CAST(o_orderkey AS INTEGER) AS n, o_custkey AS p, CAST(round(o_totalprice) AS INTEGER) % 50 AS q FROM orders), ports AS (
+ SELECT n, n % 2 = 0 AS allowed, (p * 7 + n * 13) % 60000 AS low,
+  (p * 7 + n * 13) % 60000 + CASE WHEN n % 50 = 0 THEN q * 100 WHEN n % 7 = 0 THEN q ELSE 0 END AS high,
+  CASE WHEN n % 3 = 0 THEN (p + n) % 3000 END AS slow FROM many
+)"""
+
+
+@query(f"""WITH {E_SQL}, {MANY_SQL}, x AS (SELECT event_id, k * 30 AS sp, cents % 60000 AS dp FROM e), hits AS (
+ SELECT x.event_id, p.n, p.allowed, CASE WHEN slow IS NULL THEN CASE WHEN x.sp = 0 THEN 0 ELSE 1 END
+   WHEN x.sp BETWEEN slow AND slow + 40 THEN 0 WHEN slow = 0 THEN 1 END AS r0,
+  CASE WHEN x.dp BETWEEN low AND high THEN 0 END AS r1
+ FROM x JOIN ports p ON x.dp BETWEEN p.low AND p.high
+ UNION ALL
+ SELECT x.event_id, p.n, p.allowed, CASE WHEN slow IS NULL THEN CASE WHEN x.sp = 0 THEN 0 ELSE 1 END
+   WHEN x.sp BETWEEN slow AND slow + 40 THEN 0 WHEN slow = 0 THEN 1 END, 1
+ FROM x JOIN ports p ON p.low = 0
+), best AS (SELECT * FROM hits WHERE r0 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY r0, r1, n) = 1)
+SELECT x.event_id, n AS rule_id, CASE WHEN allowed THEN 'Allowed' WHEN NOT allowed THEN 'Restricted' END AS verdict
+FROM x LEFT JOIN best USING (event_id)""")
+def control_many_ranges(spark, folder):
+    """Connections looked up among as many port rules of one organization as there are orders."""
+    numbered = table(spark, folder, "orders").selectExpr(
+        "cast(o_orderkey as int) as n", "o_custkey as p", "cast(round(o_totalprice) as int) % 50 as q")
+    none = "cast(null as string)"
+    rules = numbered.selectExpr(
+        "n as rule_id", "'FirewallConnection' as type", "'org' as org",
+        *[f"{none} as {c}" for c in ("source_host", "source_ip", "destination_host", "destination_ip", "obj_name")],
+        "if(n % 2 = 0, 'Allowed', 'Restricted') as result",
+        "cast(array() as array<struct<time_from:int,time_to:int,days_work:int,days_weekend:int,is_calendar:boolean>>) as intervals",
+        "if(n % 3 = 0, concat((p + n) % 3000, '-', (p + n) % 3000 + 40), null) as aux1",
+        "concat((p * 7 + n * 13) % 60000, '-', (p * 7 + n * 13) % 60000 + "
+        "case when n % 50 = 0 then q * 100 when n % 7 = 0 then q else 0 end) as aux2")
+    df = canonical(
+        events(spark, folder), collector__organization="ORG", eventSource__category="Firewall",
+        source__port=F.expr("k * 30"), destination__port=F.expr("cast(cents % 60000 as int)"))
+    return control(df, rules, "connection", holidays(spark, folder)).select("event_id", "rule_id", "verdict")

@@ -1,4 +1,4 @@
-"""IP addresses as bit strings, so that a network is a string prefix and lookups are equi-joins."""
+"""IP addresses as whole numbers that sort like the addresses, and networks as ranges of them."""
 
 from __future__ import annotations
 
@@ -32,10 +32,6 @@ def _v4_number(ip: Column) -> Column:
     return number
 
 
-def _v4_bits(ip: Column) -> Column:
-    return F.lpad(F.conv(_v4_number(ip).cast("string"), 10, 2), 32, "0")
-
-
 def _dotted_tail_as_groups(ip: Column) -> Column:
     """Rewrite ``…:a.b.c.d`` so that only hexadecimal groups remain."""
     number = _v4_number(F.regexp_extract(ip, "(" + IPV4_TAIL + ")$", 1))
@@ -76,22 +72,32 @@ def _v6_hex(ip: Column) -> Column:
     return let(let(let(_dotted_tail_as_groups(ip), sides), fill), digits)
 
 
-def _v6_bits(ip: Column) -> Column:
-    def bits(hexed: Column) -> Column:
-        high = F.lpad(F.conv(F.substring(hexed, 1, 16), 16, 2), 64, "0")
-        low = F.lpad(F.conv(F.substring(hexed, 17, 16), 16, 2), 64, "0")
-        mapped = F.startswith(hexed, F.lit("0" * 20 + "ffff"))
-        return F.when(mapped, F.right(low, F.lit(32))).otherwise(F.concat(high, low))
+def _word(hexed: Column, start: int) -> Column:
+    """Eight hex digits as a number."""
+    return F.conv(F.substring(hexed, start, 8), 16, 10).cast("bigint")
+
 
-    return let(_v6_hex(ip), bits)
+def _number(family: int, high: Column, low: Column) -> Column:
+    return F.struct(F.lit(family).alias("family"), high.cast("bigint").alias("high"), low.cast("bigint").alias("low"))
 
 
-def ip_bits(ip: Column) -> Column:
-    """32 or 128 binary digits; NULL for anything that is not an IP literal.
+def ip_number(ip: Column) -> Column:
+    """(family, high, low) of an address; NULL for anything that is not an IP literal.
 
-    IPv4-mapped IPv6 addresses become plain IPv4 ones.
+    An IPv4 address is ``low``.  An IPv6 address is both, each 64 bits less 2**63, so that signed
+    numbers sort like addresses.  IPv4-mapped IPv6 addresses become plain IPv4 ones.
     """
-    return F.when(ip.rlike(IPV4), _v4_bits(ip)).when(ip.rlike(IPV6_SHAPE), _v6_bits(ip))
+    def parts(hexed: Column) -> Column:
+        mapped = F.startswith(hexed, F.lit("0" * 20 + "ffff"))
+
+        def half(start: int) -> Column:
+            return F.shiftleft(_word(hexed, start) - (1 << 31), 32) + _word(hexed, start + 8)
+
+        return F.when(mapped, _number(4, F.lit(0), _word(hexed, 25))).when(
+            hexed.isNotNull(), _number(6, half(1), half(17)))
+
+    return F.when(ip.rlike(IPV4), _number(4, F.lit(0), _v4_number(ip))).when(
+        ip.rlike(IPV6_SHAPE), let(_v6_hex(ip), parts))
 
 
 def is_ip(ip: Column) -> Column:
@@ -105,31 +111,56 @@ def is_hostname(name: Column) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def network_key(cidr: Column) -> Column:
-    """The address bits a CIDR fixes, prefixed by its family: ``4:0000101…``."""
-    address = F.substring_index(cidr, "/", 1)
-    length = F.substring_index(cidr, "/", -1).try_cast("int")
-    return let(
-        ip_bits(address), lambda bits: F.concat(family(bits), F.lit(":"), F.left(bits, length))
-    )
-
-
-def family(bits: Column) -> Column:
-    return F.when(F.length(bits) == 32, "4").when(F.length(bits) == 128, "6")
+def network_range(address: Column, length: Column) -> Column:
+    """First and last number of the network that an address (as a number) lies in, and its length.
 
-
-def is_private_bits(bits: Column) -> Column:
-    """Whether an address (as bits) lies in a local network; NULL when there is no address."""
+    A length beyond that of the address is the address alone; NULL lengths give NULL.
+    """
+    v4 = address["family"] == 4
+    size = F.greatest(F.lit(0), F.least(length, F.when(v4, 32).otherwise(128)))
+    ones, sign = F.lit(-1).cast("bigint"), F.lit(-(1 << 63)).cast("bigint")
+
+    def free(bits: Column, width: int) -> Column:
+        """The lowest ``bits`` of ``width`` bits set; shifts by all 64 bits would shift by none."""
+        whole = F.lit(-1 if width == 64 else (1 << width) - 1).cast("bigint")
+        return F.when(bits >= width, whole).otherwise(
+            F.call_function("shiftleft", ones, bits).bitwiseXOR(ones))
+
+    def edges(value: Column, host: Column, last: bool) -> Column:
+        return value.bitwiseOR(host) if last else value.bitwiseAND(host.bitwiseXOR(ones))
+
+    high_free = free(F.greatest(F.lit(0), 64 - size), 64)
+    low_free = free(F.least(F.lit(64), 128 - size), 64)
+    columns = []
+    for name, last in (("", False), ("last_", True)):
+        high = edges(address["high"].bitwiseXOR(sign), high_free, last).bitwiseXOR(sign)
+        low = edges(address["low"].bitwiseXOR(sign), low_free, last).bitwiseXOR(sign)
+        low4 = edges(address["low"], free(32 - size, 32), last)
+        columns += [F.when(v4, address["high"]).otherwise(high).alias(f"{name}high"),
+                    F.when(v4, low4).otherwise(low).alias(f"{name}low")]
+    return F.when(address.isNotNull() & length.isNotNull(), F.struct(
+        address["family"].alias("family"), *columns, size.alias("length")))
+
+
+def is_private_number(address: Column) -> Column:
+    """Whether an address (as a number) lies in a local network; NULL when there is no address."""
     import ipaddress
 
     local = F.lit(False)
-    for cidr in PRIVATE_V4 + PRIVATE_V6:
+    for cidr in PRIVATE_V4:
+        net = ipaddress.ip_network(cidr)
+        first, last = int(net.network_address), int(net.broadcast_address)
+        local = local | ((address["family"] == 4) & address["low"].between(first, last))
+    for cidr in PRIVATE_V6:
         net = ipaddress.ip_network(cidr)
-        width = net.max_prefixlen
-        prefix = format(int(net.network_address), f"0{width}b")[: net.prefixlen]
-        local = local | ((F.length(bits) == width) & F.startswith(bits, F.lit(prefix)))
-    return local
+        (first, first_low), (last, last_low) = (
+            (int(x) // 2**64 - 2**63, int(x) % 2**64 - 2**63) for x in (net.network_address, net.broadcast_address))
+        inside = address["high"].between(first, last)
+        if first == last:  # a network longer than 64 bits
+            inside = inside & address["low"].between(first_low, last_low)
+        local = local | ((address["family"] == 6) & inside)
+    return F.when(address.isNotNull(), local)
 
 
 def is_private_ip(ip: Column) -> Column:
-    return let(ip_bits(ip), is_private_bits)
+    return let(ip_number(ip), is_private_number)

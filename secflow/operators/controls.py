@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.dates import second_of_day
-from secflow.operators.rules import ExactLayer, Layers, RangeLayer, match_rules
+from secflow.operators.rules import ExactLayer, Layers, Prepared, RangeLayer, match_rules, prepare
 from secflow.operators.schedule import holiday_list, schedule_check
 from secflow.schema import with_leaves
 
@@ -157,23 +157,31 @@ CONTROLS = {
 }
 
 
+PAYLOAD = ["result", "intervals", "aux1"]
+
+
+def prepare_control(rules: DataFrame, kind: str, compat_zero_is_any: bool = True) -> Prepared:
+    """The rules of one control, ready to be written or looked up."""
+    chosen = CONTROLS[kind]
+    own = rules.where(F.col("type") == chosen.rule_type)
+    return prepare(own, chosen.layers(F.col("event")), PAYLOAD, compat_zero_is_any)
+
+
 def control(
-    df: DataFrame, rules: DataFrame, kind: str, holidays: DataFrame, event: str = "event",
+    df: DataFrame, rules: DataFrame | Prepared, kind: str, holidays: DataFrame, event: str = "event",
     compat_zero_is_any: bool = True, probe: DataFrame | None = None, verdict_col: str = "verdict",
-    rule_col: str = "rule_id",
+    rule_col: str = "rule_id", by: str | None = None,
 ) -> DataFrame:
     """Add ``rule_id`` and ``verdict`` (Allowed, Restricted or NULL) for one control.
 
-    ``rules`` is the output of ``denorm_rules``.  Logon verdicts hold only inside the rule's
-    schedule (and for its logon types); outside of it they turn into their opposite.
+    ``rules`` is the output of ``denorm_rules``, or prepared for this control.  Logon verdicts hold only inside the rule's
+    schedule (and for its logon types); outside of it they turn into their opposite.  ``probe`` and
+    ``by`` are those of ``match_rules``.
     """
     chosen = CONTROLS[kind]
     e = F.col(event)
-    own = rules.where(F.col("type") == chosen.rule_type)
-    matched = match_rules(
-        df, own, chosen.layers(e), ["result", "intervals", "aux1"], chosen.eligible(e),
-        compat_zero_is_any, probe,
-    )
+    own = rules if isinstance(rules, Prepared) else prepare_control(rules, kind, compat_zero_is_any)
+    matched = match_rules(df, own, chosen.layers(e), PAYLOAD, chosen.eligible(e), probe=probe, by=by)
     rule = F.col("rule")
     verdict = rule["result"]
     if chosen.scheduled:

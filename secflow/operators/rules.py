@@ -1,29 +1,40 @@
-"""Wildcard access rules matched to events by equi-joins on their exact keys.
+"""Wildcard access rules matched to events by equi-joins on their exact keys and on nodes of their ranges.
 
 A rule has layers (organization, domain, …).  For one event each layer gives a rule a rank: the
 position of the event key that hits it, or the last position for a wildcard.  The rule with the
 smallest rank vector wins, ties going to the smallest rule id.
 
-Only distinct key tuples are matched, and each is expanded to the few keys a rule could have
-(at most 36), so every join is an equi-join and events themselves are never multiplied.  The
-ranges (time of day, ports) are tested last, on the short candidate list joined back to the event.
+``prepare`` turns rules into a table with one row for each combination of exact keys, path node and
+range nodes: the best rule there.  A range of points is cut into the aligned segments of a tree with
+16 children a node, its canonical cover; a point lies in one segment of each level.  All rules of
+one row have the same exact and path ranks for every event that meets it, so only the one with the
+least range ranks and id can win, and the others are left out.  No event ever sees a list of rules.
+
+An event is looked up by its distinct keys and points: they are expanded to the wildcard masks that
+occur (at most 36), then to the path shapes and segment levels that rules with these keys have, and
+the least rank vector of the rows they meet wins.  All joins are equi-joins, and events themselves
+are never multiplied.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secflow.functions.text import ANY, path_segments
-from secflow.operators.schedule import within
-from secflow.session import dimension_side
+from secflow.session import dimension_side, keyed_join
 
 MARK = "\x01"
 ABSENT = "\x02"
 
+#: Children of a segment as a power of two, and levels; points are whole numbers below 2**32.
+BITS, LEVELS = 4, 8
+LAST_POINT = (1 << BITS * LEVELS) - 1
+#: Level (and node) of the rules that are open on an axis.
+OPEN = -1
+
 
 @dataclass
 class ExactLayer:
@@ -51,8 +62,8 @@ class Layers:
     rule_path: Column | None = None
 
 
-def _tuple_key(columns: list[str]) -> Column:
-    """The keys of an event as one text; the path joins its segments with marks, other keys have none."""
+def _joined_keys(columns: list[str]) -> Column:
+    """Several keys as one text; the path joins its segments with marks, other keys have none."""
     return F.concat_ws(MARK, *[F.coalesce(F.col(c), F.lit(ABSENT)) for c in columns])
 
 
@@ -63,44 +74,16 @@ def _unmarked(key: Column) -> Column:
 
 def keyed_rules(rules: DataFrame, layers: Layers, payload: list[str]) -> DataFrame:
     """One row per rule and combination of its exact keys; absent keys are the wildcard."""
-    out = rules.withColumn("_rule", F.struct("rule_id", *payload, *[
-        layer.ranges.alias(f"_{layer.name}") for layer in layers.ranges
-    ]))
+    out = rules.select(
+        "*", *[layer.ranges.alias(f"_{layer.name}") for layer in layers.ranges])
     for layer in layers.exact:
         keys = F.array_compact(F.array(*layer.rule_keys))
         out = out.withColumn(
             f"k_{layer.name}",
             F.explode(F.array_distinct(F.when(F.size(keys) == 0, F.array(F.lit(ANY))).otherwise(keys))),
         )
-    return out.select("rule_id", "_rule", *[f"k_{layer.name}" for layer in layers.exact])
-
-
-def _event_columns(layers: Layers) -> dict[str, Column]:
-    columns = {
-        f"e_{layer.name}_{i}": _unmarked(key)
-        for layer in layers.exact for i, key in enumerate(layer.event_keys)
-    }
-    if layers.event_path is not None:
-        columns["e_path"] = F.array_join(path_segments(_unmarked(layers.event_path)), MARK)
-    return columns
-
-
-def _probes(tuples: DataFrame, layers: Layers) -> DataFrame:
-    """Distinct tuples expanded to every key a matching rule can carry, with the rank of each."""
-    out = tuples
-    for layer in layers.exact:
-        candidates = [
-            F.when(F.col(f"e_{layer.name}_{i}").isNotNull(),
-                   F.struct(F.col(f"e_{layer.name}_{i}").alias("key"), F.lit(i).alias("rank")))
-            for i in range(len(layer.event_keys))
-        ]
-        wildcard = F.struct(F.lit(ANY).alias("key"), F.lit(len(layer.event_keys)).alias("rank"))
-        out = (
-            out.withColumn("_c", F.explode(F.array_compact(F.array(*candidates, wildcard))))
-            .withColumn(f"k_{layer.name}", F.col("_c.key"))
-            .withColumn(f"r_{layer.name}", F.col("_c.rank"))
-        )
-    return out.drop("_c")
+    return out.select("rule_id", *payload, *[f"_{layer.name}" for layer in layers.ranges],
+                      *[f"k_{layer.name}" for layer in layers.exact])
 
 
 def wildcard_mask(layers: Layers) -> Column:
@@ -110,86 +93,60 @@ def wildcard_mask(layers: Layers) -> Column:
     ])
 
 
-def match_candidates(events: DataFrame, rules: DataFrame, layers: Layers,
-                     payload: list[str]) -> DataFrame:
-    """(tuple key) -> rules whose exact and path layers fit, with their ranks."""
-    columns = _event_columns(layers)
-    tuples = events.select(*[c.alias(n) for n, c in columns.items()]).distinct().withColumn(
-        "_tuple", _tuple_key(list(columns))
-    )
-    keys = [f"k_{layer.name}" for layer in layers.exact]
-    ranks = [f"r_{layer.name}" for layer in layers.exact]
-    kept = ["_tuple", *ranks] + (["e_path"] if layers.event_path is not None else [])
-    by_key = keyed_rules(rules, layers, payload)
-    # Only the combinations of wildcards that some rule has are worth probing.
-    masks = by_key.agg(F.collect_set(wildcard_mask(layers))).scalar()
-    probes = _probes(tuples, layers).select(*kept, *keys).where(
-        F.array_contains(masks, wildcard_mask(layers)))
-    hits = probes.join(dimension_side(by_key), keys)
-    if layers.event_path is not None:
-        # Only paths and rules whose exact keys fit are compared, so a rule for all paths meets few of them.
-        hits = hits.join(path_matches(hits, rules, layers.rule_path), ["e_path", "rule_id"])
-        ranks = [*ranks, "r_path"]
-    return hits.groupBy("_tuple").agg(
-        F.collect_list(F.struct(*ranks, "_rule")).alias("_candidates")
-    )
+# Ranges ---------------------------------------------------------------------------------------
 
 
-def match_rules(
-    events: DataFrame, rules: DataFrame, layers: Layers, payload: list[str],
-    eligible: Column | None = None, compat_zero_is_any: bool = True,
-    probe: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``rule``: the winning rule (struct of ``rule_id`` and ``payload``) or NULL.
+def range_spans(ranges: str, compat_zero_is_any: bool = True) -> str:
+    """SQL of the points of a rule's ranges as structs (low, stop), and one from ``OPEN`` where it is open.
 
-    In a range layer a wildcard is probed as the point 0, so with ``compat_zero_is_any`` a range
-    that starts at 0 also fits every other point, with the rank of a wildcard.  ``probe`` is a
-    frame with the same event column to take the key tuples from (see ``geo_lookup``).
+    Ranges are closed; one that ends at 0 ends at midnight, and one whose end is smaller than its
+    start wraps around.  No range at all is the point 0.  A rule whose ranges hold the wildcard's
+    point 0 as their start is open; NULL ranges never apply.
     """
-    wanted = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
-    found = match_candidates((events if probe is None else probe).where(wanted), rules, layers, payload)
-    columns = _event_columns(layers)
-    keyed = events.withColumns(columns).withColumn(
-        "_tuple", F.when(wanted, _tuple_key(list(columns)))
-    ).drop(*columns)
-    joined = keyed.join(found, "_tuple", "left")
-    points = {f"_p_{layer.name}": layer.point for layer in layers.ranges}
-    joined = joined.withColumns(points) if points else joined
-
-    def ranked(c: Column) -> Column:
-        exact = [c[f"r_{layer.name}"].alias(f"r_{layer.name}") for layer in layers.exact]
-        if layers.event_path is not None:
-            exact.append(c["r_path"].alias("r_path"))
-        ranks = [
-            range_rank(F.col(f"_p_{layer.name}"), c["_rule"][f"_{layer.name}"], compat_zero_is_any)
-            for layer in layers.ranges
-        ]
-        usable = F.lit(True)
-        for rank in ranks:
-            usable = usable & rank.isNotNull()
-        vector = F.struct(
-            *exact, *[r.alias(f"q{i}") for i, r in enumerate(ranks)],
-            c["_rule"].alias("rule"),
-        )
-        return F.when(usable, vector)
+    def span(low: str, stop: str) -> str:
+        return f"named_struct('low', cast({low} as bigint), 'stop', cast({stop} as bigint))"
+
+    stop = f"if(r.low > r.high, {LAST_POINT + 1}, least(cast(r.high as bigint), {LAST_POINT}) + 1)"
+    inside = f"if(r.low is not null and r.high is not null, {span('greatest(r.low, 0)', stop)}, null)"
+    wrapped = f"if(r.low > r.high and r.high <> 0, {span('0', 'r.high + 1')}, null)"
+    opened = f"if(r.low = 0 and r.high {'>=' if compat_zero_is_any else '='} 0, {span(OPEN, OPEN)}, null)"
+    known = f"if(size({ranges}) = 0, array(named_struct('low', 0, 'high', 0)), {ranges})"
+    return f"array_distinct(flatten(transform({known}, r -> array_compact(array({inside}, {wrapped}, {opened})))))"
+
+
+def with_nodes(rules: DataFrame, ranges: str, i: int, compat_zero_is_any: bool = True) -> DataFrame:
+    """One row for each segment of a rule's ranges on axis ``i``: level ``l{i}``, node ``n{i}``, rank ``q{i}``.
+
+    The segments are the largest aligned ones that make up the ranges.  Steps are generators, whose
+    output is computed once and never copied into what follows.
+    """
+    kept = [c for c in rules.columns if c != ranges]
+    spans = rules.selectExpr(*kept, f"explode({range_spans(ranges, compat_zero_is_any)}) as _s")
+    cut = spans.selectExpr("*", f"explode(if(_s.low = {OPEN}, array({OPEN}), sequence(0, {LEVELS - 1}))) as l{i}")
+
+    def ceiling(bits: str) -> str:
+        return f"shiftright(_s.low + shiftleft(1L, {bits}) - 1, {bits})"
 
-    best = F.array_min(F.array_compact(F.transform("_candidates", ranked)))["rule"]
-    result = F.when(best.isNotNull(), F.struct(*[best[n].alias(n) for n in ("rule_id", *payload)]))
-    return joined.withColumn("rule", result).drop("_tuple", "_candidates", *points)
+    here, above = f"l{i} * {BITS}", f"(l{i} + 1) * {BITS}"
+    # Segments of this level that none of the next level holds lie left and right of those.
+    edges = cut.selectExpr("*", f"""explode(array(named_struct(
+        'first', {ceiling(here)}, 'stop', shiftright(_s.stop, {here}),
+        'inner', if(l{i} < {LEVELS - 1}, shiftleft({ceiling(above)}, {BITS}), null),
+        'outer', if(l{i} < {LEVELS - 1}, shiftleft(shiftright(_s.stop, {above}), {BITS}), null)))) as _e""")
 
+    def between(low: str, stop: str) -> str:
+        return f"if({low} < {stop}, sequence({low}, {stop} - 1), cast(array() as array<bigint>))"
 
-def range_rank(point: Column, ranges: Column, compat_zero_is_any: bool = True) -> Column:
-    """0 where a range holds the point, 1 where the rule is open, NULL where it does not apply."""
-    zero = F.struct(F.lit(0).alias("low"), F.lit(0).alias("high"))
-    ranges = F.when(F.size(ranges) == 0, F.array(zero)).otherwise(ranges)
+    nodes = f"""case when l{i} = {OPEN} then array(cast({OPEN} as bigint))
+        when coalesce(_e.inner < _e.outer, false) then concat({between("_e.first", "_e.inner")}, {between("_e.outer", "_e.stop")})
+        else {between("_e.first", "_e.stop")} end"""
+    return edges.selectExpr(*kept, f"l{i}", f"if(l{i} = {OPEN}, 1, 0) as q{i}", f"explode({nodes}) as n{i}")
 
-    def is_open(r: Column) -> Column:
-        if compat_zero_is_any:
-            return (r["low"] == 0) & (r["high"] >= 0)
-        return (r["low"] == 0) & (r["high"] == 0)
 
-    hit = F.exists(ranges, lambda r: within(point, r["low"], r["high"]))
-    return F.when(hit, 0).when(F.exists(ranges, is_open), 1)
+def point_node(point: str, level: str) -> str:
+    """SQL of the segment of a level that holds a point; NULL if the point is absent, but open rules need none."""
+    return (f"case when {level} = {OPEN} then cast({OPEN} as bigint) "
+            f"when {point} between 0 and {LAST_POINT} then shiftright({point}, {level} * {BITS}) end")
 
 
 # Paths ----------------------------------------------------------------------------------------
@@ -229,31 +186,135 @@ def path_nodes(rules: DataFrame, rule_path: Column) -> DataFrame:
                            F.array_join(stars, "").alias("shape"))
 
 
-def path_matches(pairs: DataFrame, rules: DataFrame, rule_path: Column) -> DataFrame:
-    """Those (e_path, rule_id) of ``pairs`` that fit, with the rank: one digit per level, 0 exact and 1 wildcard.
+def _path_node(shape: Column) -> Column:
+    """The event path with wildcards where the shape has them; it joins its segments with marks."""
+    parts = F.transform(
+        F.slice(F.split("e_path", MARK), F.lit(1), F.length(shape)),
+        lambda s, i: F.when(F.substring(shape, i + 1, F.lit(1)) == "1", F.lit(ANY)).otherwise(s),
+    )
+    return F.array_join(parts, MARK)
+
+
+# Prepared rules -------------------------------------------------------------------------------
 
-    A path is expanded only to the wildcard shapes that occur among the rules.  It fits a node of
-    its own depth, or a leaf above it.
+
+@dataclass
+class Prepared:
+    """Rules of one kind, ready to be looked up.
+
+    ``best``: the exact keys as one text ``_k``, the path ``node`` and a node ``n{i}`` of each axis,
+    and the best rule there.  ``keys``: each ``_k`` with its ``mask`` and the ``forms`` (path shape
+    and levels) that its rules have.
     """
-    nodes = path_nodes(rules, rule_path)
-    shapes = nodes.agg(F.collect_set("shape"))
-    paths = pairs.select("e_path", "rule_id").distinct().withColumns({
-        "_segments": F.split("e_path", MARK), "_shapes": shapes.scalar(),
-    })
-    fitting = F.filter("_shapes", lambda s: F.length(s) <= F.size("_segments"))
-
-    def key(shape: Column) -> Column:
-        parts = F.transform(
-            F.slice("_segments", F.lit(1), F.length(shape)),
-            lambda s, i: F.when(F.substring(shape, i + 1, F.lit(1)) == "1", F.lit(ANY)).otherwise(s),
-        )
-        return F.struct(F.array_join(parts, MARK).alias("node"), shape.alias("r_path"))
-
-    probes = paths.select(
-        "e_path", "rule_id", F.size("_segments").alias("_size"),
-        F.explode(F.transform(fitting, key)).alias("_p"),
-    ).select("e_path", "rule_id", "_size", "_p.node", "_p.r_path")
-    fits = (F.col("depth") == F.col("_size")) | F.col("leaf")
-    return probes.join(dimension_side(nodes), ["node", "rule_id"]).where(fits).groupBy("e_path", "rule_id").agg(
-        F.min("r_path").alias("r_path")
-    )
+
+    best: DataFrame
+    keys: DataFrame
+
+    def write(self, folder: str) -> None:
+        self.best.write.mode("overwrite").parquet(f"{folder}/best")
+        self.keys.write.mode("overwrite").parquet(f"{folder}/keys")
+
+    @staticmethod
+    def read(spark: SparkSession, folder: str) -> Prepared:
+        """Written tables; they are broadcast if they are small, for now their own size is known."""
+        return Prepared(dimension_side(spark.read.parquet(f"{folder}/best")),
+                        dimension_side(spark.read.parquet(f"{folder}/keys")))
+
+
+def prepare(rules: DataFrame, layers: Layers, payload: list[str], compat_zero_is_any: bool = True) -> Prepared:
+    """The best rule for each combination of exact keys, path node and range nodes."""
+    keyed = keyed_rules(rules, layers, payload)
+    exact = [f"k_{layer.name}" for layer in layers.exact]
+    keyed = keyed.withColumns({"_k": _joined_keys(exact), "mask": wildcard_mask(layers)}).drop(*exact)
+    if layers.rule_path is not None:
+        keyed = keyed.join(path_nodes(rules, layers.rule_path), "rule_id")
+    else:
+        keyed = keyed.withColumns({"node": F.lit(""), "leaf": F.lit(True), "shape": F.lit("")})
+    axes = range(len(layers.ranges))
+    for i, layer in enumerate(layers.ranges):
+        keyed = with_nodes(keyed, f"_{layer.name}", i, compat_zero_is_any)
+    # Rows of one spot have equal exact and path ranks, so range ranks and id decide.
+    spot = [f"{part}{i}" for i in axes for part in "ln"]
+    best = keyed.groupBy("_k", "mask", "node", "leaf", "shape", *spot).agg(
+        F.min(F.struct(*[f"q{i}" for i in axes], "rule_id", *payload)).alias("rule"))
+    forms = F.collect_set(F.struct("shape", *[f"l{i}" for i in axes]))
+    keys = best.groupBy("_k", "mask").agg(forms.alias("forms"))
+    return Prepared(best.drop("mask"), keys)
+
+
+def _event_columns(layers: Layers) -> dict[str, Column]:
+    columns = {
+        f"e_{layer.name}_{i}": _unmarked(key)
+        for layer in layers.exact for i, key in enumerate(layer.event_keys)
+    }
+    if layers.event_path is not None:
+        columns["e_path"] = F.array_join(path_segments(_unmarked(layers.event_path)), MARK)
+    columns |= {f"p{i}": layer.point.cast("bigint") for i, layer in enumerate(layers.ranges)}
+    return columns
+
+
+def _probes(lookups: DataFrame, layers: Layers) -> DataFrame:
+    """Lookups expanded to every exact key that a rule can carry, with the rank of each layer."""
+    out = lookups
+    for layer in layers.exact:
+        n = len(layer.event_keys)
+        keys = [f"e_{layer.name}_{i}" for i in range(n)]
+        candidates = [f"if({key} is not null, named_struct('key', {key}, 'rank', {i}), null)" for i, key in enumerate(keys)]
+        candidates.append(f"named_struct('key', '{ANY}', 'rank', {n})")
+        out = out.selectExpr("*", f"explode(array_compact(array({', '.join(candidates)}))) as c_{layer.name}")
+    return out
+
+
+def find_rules(lookups: DataFrame, prepared: Prepared, layers: Layers, payload: list[str], by: str) -> DataFrame:
+    """(by, rule) for those lookups that a rule fits; ``lookups`` has the columns of an event's keys and points."""
+    axes, path = range(len(layers.ranges)), layers.event_path is not None
+    names = [layer.name for layer in layers.exact]
+    key = F.concat_ws(MARK, *[f"c_{n}.key" for n in names])
+    mask = F.concat(*[F.when(F.col(f"c_{n}.key") == ANY, "1").otherwise("0") for n in names])
+    masks = prepared.keys.agg(F.collect_set("mask")).scalar()
+    probes = _probes(lookups, layers).where(F.array_contains(masks, mask)).select(
+        by, *["e_path"] * path, *[f"p{i}" for i in axes], *[F.col(f"c_{n}.rank").alias(f"r_{n}") for n in names], key.alias("_k"))
+    ranks = [f"r_{n}" for n in names]
+    met = probes.join(prepared.keys.select("_k", "forms"), "_k").selectExpr(*probes.columns, "explode(forms) as _f")
+    spots = [f"_f.l{i}" for i in axes] + [f"{point_node(f'p{i}', f'_f.l{i}')} as n{i}" for i in axes]
+    if path:
+        met = met.withColumns({"node": _path_node(F.col("_f.shape")), "_depth": F.size(F.split("e_path", MARK))})
+        met = met.where("length(_f.shape) <= _depth")
+        spots += ["node", "_f.shape as r_path", "length(_f.shape) = _depth as _whole"]
+        ranks = [*ranks, "r_path"]
+    else:
+        spots += ["'' as node"]
+    on = ["_k", "node", *[f"{part}{i}" for i in axes for part in "ln"]]
+    hits = met.selectExpr(by, "_k", *[f"r_{n}" for n in names], *spots).join(prepared.best.drop("shape"), on)
+    if path:
+        hits = hits.where("_whole or leaf")
+    vector = F.struct(*ranks, *[f"rule.q{i}" for i in axes], *[f"rule.{n}" for n in ("rule_id", *payload)])
+    best = hits.groupBy(by).agg(F.min(vector).alias("_best"))
+    return best.select(by, F.struct(*[F.col(f"_best.{n}").alias(n) for n in ("rule_id", *payload)]).alias("rule"))
+
+
+def match_rules(
+    events: DataFrame, rules: DataFrame | Prepared, layers: Layers, payload: list[str],
+    eligible: Column | None = None, compat_zero_is_any: bool = True,
+    probe: DataFrame | None = None, by: str | None = None,
+) -> DataFrame:
+    """Add ``rule``: the winning rule (struct of ``rule_id`` and ``payload``) or NULL.
+
+    In a range layer a wildcard is probed as the point 0, so with ``compat_zero_is_any`` a range
+    that starts at 0 also fits every other point, with the rank of a wildcard.  Points are whole
+    numbers from 0 to 2**32 - 1; for others only open rules apply.  ``rules`` may be prepared
+    already.  ``probe`` is a frame with the same event column to take the keys from (see
+    ``geo_lookup``).  Events that are not eligible go round the join.  ``by`` names a column that is
+    unique and never NULL, if there is one; what was found is then joined by it.
+    """
+    prepared = rules if isinstance(rules, Prepared) else prepare(rules, layers, payload, compat_zero_is_any)
+    wanted = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+    columns = _event_columns(layers)
+    asked = (events if probe is None else probe).where(wanted)
+    if by is not None:
+        found = find_rules(asked.select(by, *[c.alias(n) for n, c in columns.items()]), prepared, layers, payload, by)
+        return events.join(found, by, "left")
+    key = F.concat_ws(MARK, *[F.coalesce(c.cast("string"), F.lit(ABSENT)) for c in columns.values()])
+    lookups = asked.select(key.alias("_lookup"), *[c.alias(n) for n, c in columns.items()]).dropDuplicates(["_lookup"])
+    found = find_rules(lookups, prepared, layers, payload, "_lookup")
+    return keyed_join(events, found, {"_lookup": F.when(wanted, key)})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.dates import epoch_date, second_of_day
 from secflow.schema import with_leaves
+from secflow.session import keyed_join
 
 DAY = 86400
 DAY_MINUTES = 1440
@@ -102,13 +103,10 @@ def schedule_columns(
     def key(column: Column) -> Column:
         return F.when(eligible, F.lower(column))
 
-    joined = df.withColumn("_holidays", holiday_list(holidays)).join(
-        staff,
-        (key(e["collector"]["organization"]) == F.col("_org"))
-        & (key(e["subject"]["domain"]) == F.col("_domain"))
-        & (key(e["subject"]["name"]) == F.col("_login")),
-        "left",
-    )
+    joined = keyed_join(df, staff, {
+        "_org": key(e["collector"]["organization"]), "_domain": key(e["subject"]["domain"]),
+        "_login": key(e["subject"]["name"]),
+    }).withColumn("_holidays", holiday_list(holidays))
     minute = F.floor(second_of_day(e["eventTime"]) / 60).cast("int")
     date = epoch_date(e["eventTime"])
     days = F.col("_holidays")
@@ -122,7 +120,7 @@ def schedule_columns(
 
     return joined.withColumns(
         {"time_allowed": flag(time_allowed), "working_day": flag(working)}
-    ).drop("_holidays", *staff.columns)
+    ).drop("_holidays", "_start", "_schedule", "_known")
 
 
 def schedule_leaves(event: str = "event") -> dict[str, Column]:

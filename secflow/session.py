@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,26 @@ def dimension_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if source_bytes(df) <= max_bytes else df
 
 
+def keyed_join(df: DataFrame, found: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """Add the columns of ``found``, where its columns named by ``keys`` equal the given expressions.
+
+    Rows of which a key is NULL meet nothing.  A plain outer join would send all of them to one
+    task; here a digest of the row spreads them.  ``found`` has one row for each key.
+    """
+    spread = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    missing = F.lit(False)
+    for key in keys.values():
+        missing = missing | key.isNull()
+    own = {f"_own_{name}": key for name, key in keys.items()}
+    own["_spread"] = F.when(missing, F.pmod(F.xxhash64(*spread), F.lit(1 << 20))).otherwise(-1)
+    side = found.withColumnsRenamed({name: f"_of_{name}" for name in keys}).withColumn("_none", F.lit(-1).cast("bigint"))
+    left = df.withColumns(own)
+    on = left["_spread"] == side["_none"]
+    for name in keys:
+        on = on & (left[f"_own_{name}"] == side[f"_of_{name}"])
+    return left.join(side, on, "left").drop(*own, *[f"_of_{name}" for name in keys], "_none")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; a temporary one only in local tests."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(

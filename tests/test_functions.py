@@ -1,4 +1,5 @@
 import ipaddress
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -41,6 +42,23 @@ def test_last_wins_map(spark):
     assert values(spark, text.last_wins_map(keys, vals)) == [{"a": "3", "b": "2"}]
 
 
+def as_numbers(address):
+    n = int(address)
+    return (4, 0, n) if address.version == 4 else (6, n // 2**64 - 2**63, n % 2**64 - 2**63)
+
+
+def test_networks_against_the_standard_library(spark):
+    r = random.Random(4)
+    nets = [f"{ipaddress.ip_address(r.getrandbits(32))}/{k}" for k in range(33)]
+    nets += [f"{ipaddress.IPv6Address(r.getrandbits(128) | 1 << 126)}/{k}" for k in range(129)]
+    df = spark.createDataFrame([(t,) for t in nets], "net string").selectExpr("net", "split(net, '/') as p")
+    found = net.network_range(net.ip_number(F.col("p")[0]), F.col("p")[1].cast("int"))
+    for text, x in df.select("net", found).collect():
+        wanted = ipaddress.ip_network(text, strict=False)
+        first, last = as_numbers(wanted[0]), as_numbers(wanted[-1])
+        assert tuple(x) == (*first, *last[1:], wanted.prefixlen), text
+
+
 def test_addresses_against_the_standard_library(spark):
     @settings(max_examples=3, deadline=None)
     @given(st.lists(st.one_of(
@@ -49,16 +67,16 @@ def test_addresses_against_the_standard_library(spark):
         st.text(alphabet="0123456789abcf:.", max_size=20)), min_size=200, max_size=200))
     def check(texts):
         df = spark.createDataFrame([(t,) for t in texts], "ip string")
-        for ip, bits, ok in df.select(
-            "ip", net.ip_bits(F.col("ip")).alias("b"), net.is_ip(F.col("ip")).alias("ok")
+        for ip, number, ok in df.select(
+            "ip", net.ip_number(F.col("ip")).alias("n"), net.is_ip(F.col("ip")).alias("ok")
         ).collect():
             try:
                 address = ipaddress.ip_address(ip)
             except ValueError:
-                assert (bits, ok) == (None, False), ip
+                assert (number, ok) == (None, False), ip
                 continue
             address = getattr(address, "ipv4_mapped", None) or address
-            assert ok and bits == format(int(address), f"0{address.max_prefixlen}b"), ip
+            assert ok and tuple(number) == as_numbers(address), ip
 
     check()
 
