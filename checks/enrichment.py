@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.tables import E_SQL, ORG, canonical, dimensions, events, s, table
@@ -12,6 +14,8 @@ from secflow.operators.geo import enrich_geo, geo_lookup
 from secflow.operators.schedule import schedule_flags
 from secflow.operators.stats import enrichment_stats
 from secflow.plans.enrich import enrich_job
+from secflow.session import checkpoint_dir
+from secflow.streaming.versions import publish_rules, read_rules
 
 QUERIES, SQL = {}, {}
 
@@ -511,3 +515,84 @@ def control_many_ranges(spark, folder):
         events(spark, folder), collector__organization="ORG", eventSource__category="Firewall",
         source__port=F.expr("k * 30"), destination__port=F.expr("cast(cents % 60000 as int)"))
     return control(df, rules, "connection", holidays(spark, folder)).select("event_id", "rule_id", "verdict")
+
+
+# Deep networks, hot accounts and the whole job on each part of the event ----------------------
+
+DEEP_IP = "concat(60 + pmod(user_id, 30), '.', pmod(event_id, 5), '.', k % 40 * k, '.', pmod(cents, 250))"
+
+
+@query(f"""WITH {E_SQL}, ip AS (SELECT event_id, 60 + user_id % 30 AS a, event_id % 5 AS b, (k % 40 * k) AS c, cents % 250 AS d FROM e),
+net AS (SELECT DISTINCT 60 + s_suppkey % 30 AS a, s_suppkey // 30 % 5 AS b, l AS len FROM supplier, unnest(range(16, 26)) t(l))
+SELECT ip.event_id, CASE WHEN max(len) IS NULL THEN NULL ELSE 'c' || ip.a || '-' || ip.b || '-' || max(len) END AS city,
+ CASE WHEN max(len) IS NULL THEN NULL ELSE ip.a || '.' || ip.b || '.0.0/' || max(len) END AS network
+FROM ip LEFT JOIN net ON net.a = ip.a AND net.b = ip.b AND ip.c <= 255 AND ip.c * 256 + ip.d < (1 << (32 - len))
+GROUP BY ip.event_id, ip.a, ip.b""")
+def geo_nested_networks(spark, folder):
+    """Addresses under up to ten networks, one inside the other."""
+    sup = table(spark, folder, "supplier").selectExpr(
+        "60 + s_suppkey % 30 as a", "s_suppkey div 30 % 5 as b", "explode(sequence(16, 25)) as len").distinct()
+    city = sup.selectExpr(
+        "concat('c', a, '-', b, '-', len) as city", "cast(null as string) as country", "cast(null as string) as org",
+        "cast(null as string) as org_id", "concat(a, '.', b, '.0.0/', len) as network")
+    none = city.where("false").drop("city")
+    df = events(spark, folder).select("event_id", F.expr(DEEP_IP).alias("ip"))
+    found = geo_lookup(df, ["ip"], city, none)
+    return found.select("event_id", F.col("ip_geo")["city"].alias("city"), F.col("ip_geo")["network"].alias("network"))
+
+
+HOT_SQL = (EVENT_SQL.replace("'nation_' || (user_id % 25) AS org", "CASE WHEN k % 3 = 0 THEN 'nation_1' ELSE 'nation_' || (user_id % 25) END AS org")
+           .replace("'dom' || (k % 3) AS domain", "CASE WHEN k % 3 = 0 THEN 'dom1' ELSE 'dom' || (k % 3) END AS domain")
+           .replace("'u' || (user_id % 60) AS login", "CASE WHEN k % 3 = 0 THEN 'u1' ELSE 'u' || (user_id % 60) END AS login"))
+
+
+def hot_event(spark, folder, **extra):
+    """Events of which one account has a third."""
+    return who_event(
+        spark, folder, collector__organization=F.expr(f"if(k % 3 = 0, 'NATION_1', {ORG})"),
+        subject__domain=F.expr("if(k % 3 = 0, 'Dom1', concat('DOM', k % 3))"),
+        subject__name=F.expr("if(k % 3 = 0, 'U1', concat('u', user_id % 60))"), **extra)
+
+
+@query(f"""WITH m AS (WITH {RULES_SQL}, {HOT_SQL}, {ranked_sql(0, LOGON_RANKS)}
+SELECT x.event_id, CASE WHEN b.rule_id IS NOT NULL THEN {logged(ok=LOGON_OK)} END AS verdict FROM x LEFT JOIN m b USING (event_id))
+SELECT event_id, f.time_allowed, f.working_day, CASE m.verdict WHEN 'Allowed' THEN true WHEN 'Restricted' THEN false END AS host_allowed
+FROM m JOIN ({FLAGS_SQL.replace(EVENT_SQL, HOT_SQL)}) f USING (event_id)""")
+def enriched_hot_account(spark, folder):
+    """Schedule flags and logon verdicts of the whole job where one account has a third of the events."""
+    df = hot_event(spark, folder, interaction__logonType=F.expr("k % 12"), interaction__action="login", object__category="host")
+    city, country = geo_tables(spark, folder)
+    dims = staff_dims(spark, folder)
+    done = enrich_job(df, city, country, D.denorm_rules(dims), D.logins(dims), dims["schedule"], holidays(spark, folder))
+    flags = F.col("event.subject.enrichment")
+    return done.select("event_id", flags["isTimeAllowed"].alias("time_allowed"), flags["isWorkingDay"].alias("working_day"),
+                       flags["isHostAccessTimeAllowed"].alias("host_allowed"))
+
+
+@query(f"""SELECT event_id, CASE verdict WHEN 'Allowed' THEN true WHEN 'Restricted' THEN false END AS object_allowed
+ FROM ({object_sql()})""")
+def enriched_objects(spark, folder):
+    """The object verdict after the whole job, with rule tables that were prepared and written before."""
+    path = "concat('C:\\\\D', k % 12, if(k % 5 = 0, '', concat('\\\\F', cents % 4)))"
+    df = who_event(spark, folder, object__category="file", object__path=F.expr(path),
+                   interaction__action=F.expr("if(k % 2 = 0, 'access', 'remove')"))
+    city, country = geo_tables(spark, folder)
+    dims = staff_dims(spark, folder)
+    shared = f"{checkpoint_dir(spark)}/rules-{uuid.uuid4().hex}"
+    publish_rules(D.denorm_rules(dims), shared)
+    done = enrich_job(df, city, country, read_rules(spark, shared), D.logins(dims), dims["schedule"], holidays(spark, folder))
+    return done.select("event_id", F.col("event.subject.enrichment.isObjectAccessAllowed").alias("object_allowed"))
+
+
+@query(f"""SELECT event_id, s.city AS source_city, s.country AS source_country, s.network AS source_network, s.local AS source_local,
+ d.destination_city, d.destination_local FROM ({SQL["geo_longest_prefix"]}) s JOIN ({SQL["geo_event_enrichment"]}) d USING (event_id)""")
+def enriched_geo(spark, folder):
+    """Geo data of both ends after the whole job."""
+    df = who_event(spark, folder, source__ip=F.expr(SRC_IP), destination__ip=F.expr(DST_IP))
+    city, country = geo_tables(spark, folder)
+    dims = staff_dims(spark, folder)
+    done = enrich_job(df, city, country, D.denorm_rules(dims), D.logins(dims), dims["schedule"], holidays(spark, folder))
+    s, d = F.col("event.source.enrichment"), F.col("event.destination.enrichment")
+    return done.select(
+        "event_id", s["geo"]["city"].alias("source_city"), s["geo"]["country"].alias("source_country"), s["network"].alias("source_network"),
+        s["isNetworkLocal"].alias("source_local"), d["geo"]["city"].alias("destination_city"), d["isNetworkLocal"].alias("destination_local"))

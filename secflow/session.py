@@ -70,8 +70,10 @@ def keyed_join(df: DataFrame, found: DataFrame, keys: dict[str, Column]) -> Data
     for key in keys.values():
         missing = missing | key.isNull()
     own = {f"_own_{name}": key for name, key in keys.items()}
-    own["_spread"] = F.when(missing, F.pmod(F.xxhash64(*spread), F.lit(1 << 20))).otherwise(-1)
-    side = found.withColumnsRenamed({name: f"_of_{name}" for name in keys}).withColumn("_none", F.lit(-1).cast("bigint"))
+    own["_spread"] = F.when(missing, 1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))).otherwise(0)
+    side = found.withColumnsRenamed({name: f"_of_{name}" for name in keys})
+    # Always 0, but no constant: the optimizer would take one out of the join keys.
+    side = side.withColumn("_none", F.pmod(F.xxhash64(*[f"_of_{name}" for name in keys]), F.lit(1)))
     left = df.withColumns(own)
     on = left["_spread"] == side["_none"]
     for name in keys:
