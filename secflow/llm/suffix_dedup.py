@@ -15,7 +15,8 @@ suffix sorting, with a larger cover than the usual three residues because the de
 
 Documents travel once, into blocks of consecutive ids. A block sends each distinct key once, as a packed ascending list
 for each key range, and gets back bits in the same order; so a passage that a third of all documents share costs one
-key for a block, and no key range depends on how often a key occurs.
+key for a block, and no key range depends on how often a key occurs. What a block has found out so far goes back to it
+with the replies, as bits, so that no round is computed anew by all later ones.
 
 Names are 64-bit hashes; equal bytes always get equal names. Different bytes get equal names with a probability of
 about 2**-58 for each pair, so each match of steps 2 and 3 is verified in a round of its own: matched suffixes and those
@@ -138,61 +139,103 @@ def _covered(n: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
+def _marked(n: int, positions: np.ndarray) -> np.ndarray:
+    """For each of ``n`` positions: whether it is one of those given."""
+    out = np.zeros(n, bool)
+    out[positions] = True
+    return out
+
+
 class Rounds:
-    """The rounds of a block, as far as the replies at hand carry them."""
+    """The rounds of a block. Each is told the replies to the names of the round before, and what that round left behind.
+
+    What is left behind are marks: for some ascending list of positions, which of them are meant. So a name is computed
+    twice, when it is sent and when its reply is there, however many rounds follow.
+    """
 
-    def __init__(self, block: Block, length: int, owners: int, replies: dict[int, dict[int, tuple[bytes, bytes]]]):
+    def __init__(self, block: Block, length: int, owners: int, replies: dict[int, tuple[bytes, bytes]], state: bytes | None):
         self.block, self.length, self.owners, self.replies = block, length, owners, replies
+        self.n, self.left = len(block.data), self._opened(state)
+        self.deep_depth = length + PERIOD - 1
+
+    @staticmethod
+    def closed(marks: list[np.ndarray]) -> bytes:
+        """Marks as bits."""
+        sizes = np.array([len(x) for x in marks], "<i8").tobytes()
+        return zstandard.ZstdCompressor(level=3).compress(bytes([len(marks)]) + sizes + b"".join(np.packbits(x).tobytes() for x in marks))
+
+    @staticmethod
+    def _opened(state: bytes | None) -> list[np.ndarray]:
+        if not state:
+            return []
+        data = zstandard.ZstdDecompressor().decompress(state)
+        out, at = [], 1 + 8 * data[0]
+        for size in np.frombuffer(data[1:at], "<i8").tolist():
+            out.append(np.unpackbits(np.frombuffer(data, np.uint8, -(-size // 8), at), count=size).astype(bool))
+            at += -(-size // 8)
+        return out
+
+    def _sampled(self) -> np.ndarray:
+        return self.block.sampled(self.length - PERIOD + 1)
+
+    def _named(self, positions: np.ndarray, depth: int, second: bool = False, bits: int = 64) -> Names:
+        return Names(positions, self.block.names(positions, depth, second), self.owners, bits)
 
-    def short(self) -> Names:
+    def _deepest(self, kin: np.ndarray) -> np.ndarray:
+        """Sampled suffixes with a repeated short name that are deep enough to settle a whole period."""
+        return kin[kin + self.deep_depth <= self.block.ends(kin)] if len(kin) else kin
+
+    def _matched(self, names: Names) -> tuple[np.ndarray, np.ndarray]:
+        """Which positions' names occur more than once, and which of those occur earlier."""
+        earlier, other = names.replies(self.replies)
+        return earlier | other, earlier[earlier | other]
+
+    def _agreed(self, positions: np.ndarray, earlier: np.ndarray, depth: int) -> np.ndarray:
+        """Positions that occur earlier by both names."""
+        return positions[earlier & self._named(positions, depth, True).replies(self.replies)[0]]
+
+    def short(self) -> tuple[Names, list[np.ndarray]]:
         """Round 0: sampled tuples, named with 40 bits, for a false match here only adds work later."""
-        depth = self.length - PERIOD + 1
-        positions = self.block.sampled(depth)
-        return Names(positions, self.block.names(positions, depth), self.owners, 40)
+        return self._named(self._sampled(), self.length - PERIOD + 1, bits=40), []
 
-    def deep(self) -> Names:
+    def deep(self) -> tuple[Names, list[np.ndarray]]:
         """Round 1: sampled suffixes with a repeated short name, at the depth that settles a whole period."""
-        short = self.short()
-        self.kin = short.positions[short.replies(self.replies.get(0, {}))[1]]
-        depth = self.length + PERIOD - 1
-        positions = self.kin[self.kin + depth <= self.block.ends(self.kin)] if len(self.kin) else self.kin
-        return Names(positions, self.block.names(positions, depth), self.owners)
-
-    def _again(self, names: Names, number: int, depth: int) -> tuple[Names, np.ndarray]:
-        """Second names where the first names of a round occur more than once; and which of those occur earlier."""
-        earlier, other = names.replies(self.replies.get(number, {}))
-        positions = names.positions[earlier | other]
-        return Names(positions, self.block.names(positions, depth, True), self.owners), earlier[earlier | other]
-
-    def _agreed(self, again: tuple[Names, np.ndarray], number: int) -> np.ndarray:
-        """Positions that occur earlier by both names."""
-        names, earlier = again
-        return names.positions[earlier & names.replies(self.replies.get(number, {}))[0]]
+        names = self.short()[0]
+        kin = names.replies(self.replies)[1]
+        return self._named(self._deepest(names.positions[kin]), self.deep_depth), [kin]
 
-    def deep_again(self) -> tuple[Names, np.ndarray]:
+    def deep_again(self) -> tuple[Names, list[np.ndarray]]:
         """Round 2: second names of the suffixes that round 1 has matched."""
-        return self._again(self.deep(), 1, self.length + PERIOD - 1)
+        (kin,) = self.left
+        positions = self._deepest(self._sampled()[kin])
+        matched, earlier = self._matched(self._named(positions, self.deep_depth))
+        return self._named(positions[matched], self.deep_depth, True), [kin, matched, earlier]
 
-    def rest(self) -> Names:
+    def rest(self) -> tuple[Names, list[np.ndarray]]:
         """Round 3: all suffixes near a repeated short name that rounds 1 and 2 have not settled."""
-        known, n = self._agreed(self.deep_again(), 2), len(self.block.data)
-        self.settled = _covered(n, known, known + PERIOD)
-        near = _covered(n, np.maximum(self.kin - PERIOD + 1, 0), self.kin + 1) & ~self.settled
-        positions = np.flatnonzero(near)
+        kin, matched, earlier = self.left
+        kin = self._sampled()[kin]
+        known = self._agreed(self._deepest(kin)[matched], earlier, self.deep_depth)
+        settled = _covered(self.n, known, known + PERIOD)
+        positions = np.flatnonzero(_covered(self.n, np.maximum(kin - PERIOD + 1, 0), kin + 1) & ~settled)
         if len(positions):
             positions = positions[positions + self.length <= self.block.ends(positions)]
-        return Names(positions, self.block.names(positions, self.length), self.owners)
+        return self._named(positions, self.length), [settled, _marked(self.n, positions)]
 
-    def rest_again(self) -> tuple[Names, np.ndarray]:
+    def rest_again(self) -> tuple[Names, list[np.ndarray]]:
         """Round 4: second names of the suffixes that round 3 has matched."""
-        return self._again(self.rest(), 3, self.length)
+        settled, rest = self.left
+        positions = np.flatnonzero(rest)
+        matched, earlier = self._matched(self._named(positions, self.length))
+        positions = positions[matched]
+        return self._named(positions, self.length, True), [settled, _marked(self.n, positions), earlier]
 
     def removed(self) -> np.ndarray:
         """For each byte of the block: whether a repeated prefix covers it."""
-        found = self._agreed(self.rest_again(), 4)
-        self.settled[found] = True
-        starts = np.flatnonzero(self.settled)
-        return _covered(len(self.block.data), starts, starts + self.length)
+        settled, again, earlier = self.left
+        settled[self._agreed(np.flatnonzero(again), earlier, self.length)] = True
+        starts = np.flatnonzero(settled)
+        return _covered(self.n, starts, starts + self.length)
 
 
 def _ordered(group: pa.Table) -> tuple[list[int], list[bytes]]:
@@ -203,11 +246,15 @@ def _ordered(group: pa.Table) -> tuple[list[int], list[bytes]]:
     return order, [texts[i] for i in order]
 
 
-def _replied(group: pa.Table) -> dict[int, dict[int, tuple[bytes, bytes]]]:
-    out: dict[int, dict[int, tuple[bytes, bytes]]] = {}
-    for row in group.select(["round", "owner", "earlier", "other"]).to_pylist():
-        out.setdefault(row["round"], {})[row["owner"]] = (row["earlier"], row["other"])
-    return out
+def _replied(group: pa.Table) -> tuple[dict[int, tuple[bytes, bytes]], bytes | None]:
+    """The replies of all key ranges, and what the round before left behind."""
+    replies, state = {}, None
+    for row in group.select(["owner", "earlier", "other"]).to_pylist():
+        if row["owner"] < 0:
+            state = row["earlier"]
+        else:
+            replies[row["owner"]] = (row["earlier"], row["other"])
+    return replies, state
 
 
 _MESSAGE = pa.schema([("owner", pa.int32()), ("block", pa.int32()), ("keys", pa.binary())])
@@ -215,7 +262,12 @@ _REPLY = pa.schema([("block", pa.int32()), ("owner", pa.int32()), ("earlier", pa
 
 
 def _compare(group: pa.Table) -> pa.Table:
-    """Sort the names of one key range and compare neighbours; one reply for each block."""
+    """Sort the names of one key range and compare neighbours; one reply for each block.
+
+    What a block has left for itself, under a negative number in place of a range, goes back as it is.
+    """
+    if group["owner"][0].as_py() < 0:
+        return pa.Table.from_arrays([group["block"], group["owner"], group["keys"], pa.array([b""] * len(group), pa.binary())], schema=_REPLY)
     blocks, lists = group["block"].to_numpy(), [unpack_keys(x) for x in group["keys"].to_pylist()]
     sizes = np.array([len(x) for x in lists])
     keys, of = np.concatenate(lists), np.repeat(blocks, sizes)
@@ -280,10 +332,10 @@ def repeated_spans(
         def messages(key, group: pa.Table, replies: pa.Table | None = None) -> pa.Table:
             if not len(group):
                 return _MESSAGE.empty_table()
-            rounds = Rounds(Block(_ordered(group)[1]), length, owners, _replied(replies) if replies is not None else {})
-            names = getattr(rounds, step)()
-            rows = list((names[0] if isinstance(names, tuple) else names).messages())
+            rounds = Rounds(Block(_ordered(group)[1]), length, owners, *(_replied(replies) if replies is not None else ({}, None)))
+            names, left = getattr(rounds, step)()
             number = group["block"][0].as_py()
+            rows = [*names.messages(), (-1 - number, Rounds.closed(left))]
             return pa.Table.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
                 schema=_MESSAGE,
@@ -291,21 +343,18 @@ def repeated_spans(
 
         return messages
 
-    def answered(messages: DataFrame, number: int) -> DataFrame:
-        replies = messages.groupBy("owner").applyInArrow(_compare, "block int, owner int, earlier binary, other binary")
-        return replies.withColumn("round", F.lit(number))
+    def answered(messages: DataFrame) -> DataFrame:
+        return messages.groupBy("owner").applyInArrow(_compare, "block int, owner int, earlier binary, other binary")
 
     first = send("short")
-    sent = by_block.applyInArrow(lambda key, group: first(key, group), "owner int, block int, keys binary")
-    replies = answered(sent, 0)
-    for number, step in ((1, "deep"), (2, "deep_again"), (3, "rest"), (4, "rest_again")):
-        sent = by_block.cogroup(replies.groupBy("block")).applyInArrow(send(step), "owner int, block int, keys binary")
-        replies = replies.unionByName(answered(sent, number))
+    replies = answered(by_block.applyInArrow(lambda key, group: first(key, group), "owner int, block int, keys binary"))
+    for step in ("deep", "deep_again", "rest", "rest_again"):
+        replies = answered(by_block.cogroup(replies.groupBy("block")).applyInArrow(send(step), "owner int, block int, keys binary"))
 
     def finish(key, group: pa.Table, answers: pa.Table) -> pa.Table:
         order, ordered = _ordered(group)
         block = Block(ordered)
-        gone = Rounds(block, length, owners, _replied(answers)).removed()
+        gone = Rounds(block, length, owners, *_replied(answers)).removed()
         rows = []
         for k, (start, size) in enumerate(zip(block.starts, block.sizes, strict=True)):
             mask = gone[start : start + size]

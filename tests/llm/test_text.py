@@ -430,16 +430,18 @@ def test_suffix_matches_by_first_name_alone_are_dropped(monkeypatch):
     texts = [say(400) + same, same + say(400), say(300) + short, short + say(300)]
     # First names of 6 bits: nearly every suffix seems to occur earlier.
     monkeypatch.setattr(suffix_dedup.Block, "names", lambda self, at, depth, second=False: names(self, at, depth, second) if second else suffix_dedup.mix(names(self, at, depth) >> np.uint64(58)))
-    blocks, replies = [suffix_dedup.Block(texts[:2]), suffix_dedup.Block(texts[2:])], {0: {}, 1: {}}
-    rounds = lambda k: suffix_dedup.Rounds(blocks[k], 100, 1, replies[k])
-    for number, step in enumerate(("short", "deep", "deep_again", "rest", "rest_again")):
+    blocks, replies, states = [suffix_dedup.Block(texts[:2]), suffix_dedup.Block(texts[2:])], [{}, {}], [None, None]
+    rounds = lambda k: suffix_dedup.Rounds(blocks[k], 100, 1, replies[k], states[k])
+    for step in ("short", "deep", "deep_again", "rest", "rest_again"):
         sent = []
         for k in (0, 1):
-            found = getattr(rounds(k), step)()
-            sent += [(owner, k, keys) for owner, keys in (found[0] if isinstance(found, tuple) else found).messages()]
+            found, left = getattr(rounds(k), step)()
+            sent += [(owner, k, keys) for owner, keys in found.messages()]
+            states[k] = suffix_dedup.Rounds.closed(left)
         table = pa.table({name: [x[i] for x in sent] for i, name in enumerate(("owner", "block", "keys"))})
+        replies = [{}, {}]
         for row in suffix_dedup._compare(table.cast(suffix_dedup._MESSAGE)).to_pylist():
-            replies[row["block"]].setdefault(number, {})[row["owner"]] = (row["earlier"], row["other"])
+            replies[row["block"]][row["owner"]] = (row["earlier"], row["other"])
     gone = np.concatenate([rounds(k).removed() for k in (0, 1)])
     want = np.zeros(len(gone), bool)
     want[700:1000] = want[1400 + 410 : 1400 + 410 + 110] = True
