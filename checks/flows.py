@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.enrichment import staff_dims
 from checks.tables import E_SQL, HOST_IP, ORG, canonical, events, iso, s, table
 from secflow.functions.text import index_title
-from secflow.operators.archive import read_day, upsert_latest, with_partitions
+from secflow.operators.archive import read_day, upsert_latest, with_partitions, write_archive
 from secflow.operators.documents import to_documents
 from secflow.operators.envelope import parse_route_key
 from secflow.operators.hops import hop_delay, mean_hop_delay
@@ -15,8 +17,12 @@ from secflow.operators.reassemble import dead_letters, merge_chain, reassemble
 from secflow.operators.route import route
 from secflow.operators.rule_loading import load_connection_rules, load_logon_rules, load_object_rules, merge_ranges
 from secflow.operators.scripts import apply_scripts, keep_approved
-from secflow.operators.stats import filter_stats, routing_stats, routing_totals
-from secflow.plans.flows import archive_job, filter_job, monitor_job, route_job, search_job, store_job
+from secflow.operators.stats import filter_counts, filter_stats, routing_stats, routing_totals
+from secflow.plans.flows import (
+    archive_job, filter_job, filter_rows, monitor_job, route_job, route_rows, search_job, sent, store_job,
+)
+from secflow.session import checkpoint_dir
+from secflow.streaming.batches import Batch, batch_folder
 
 QUERIES, SQL = {}, {}
 
@@ -413,3 +419,63 @@ def archive_job_rows(spark, folder):
         data__time=F.col("epoch")).withColumn("write_ms", F.expr("micros div 1000"))
     flat, _ = archive_job(df.select("event", "write_ms"), "2024-01-15", "write_ms")
     return flat.select("sys_org", "sys_year", "sys_month", "sys_day", F.col("subject_name").alias("name"), F.col("id").cast("bigint").alias("event_id"))
+
+
+# Staged once, read by sinks and statistics ----------------------------------------------------
+
+
+def shared_folder(spark) -> str:
+    return f"{checkpoint_dir(spark)}/flows-{uuid.uuid4().hex}"
+
+
+@query(f"""WITH {E_SQL}, st AS (SELECT event_id, CASE WHEN k % 10 = 3 THEN 'failed' WHEN event_id % 3 <> 0 AND user_id <> 7 THEN 'approved'
+  ELSE 'filtered' END AS state FROM e)
+SELECT 'error' AS part, event_id AS number FROM st WHERE state = 'failed'
+UNION ALL SELECT 'approved', event_id FROM st WHERE state = 'approved'
+UNION ALL SELECT 'filtered_count', count(*) FILTER (state = 'filtered') FROM st
+UNION ALL SELECT 'approved_count', count(*) FILTER (state = 'approved') FROM st""")
+def filter_delivered(spark, folder):
+    """A batch of the filter job staged once, delivered twice over to a folder for each topic, and its counts."""
+    value = F.when(F.col("k") % 10 == 3, s("broken {event_id}")).otherwise(F.to_json(F.struct(
+        F.col("event_id").alias("id"), F.col("epoch").alias("eventTime"), F.struct(s("u{user_id}").alias("name")).alias("subject"))))
+    values, shared = events(spark, folder).select(value.alias("value")), shared_folder(spark)
+    for _ in range(2):  # a repeated batch replaces itself
+        batch = Batch(spark, f"{shared}/log", 0)
+        batch.stage(lambda: filter_rows(values, SCRIPTS, "approved"), by="state")
+        for topic in ("approved", "error"):
+            batch.deliver(topic, batch_folder(f"{shared}/{topic}", lambda rows, t=topic: sent(rows.where(F.col("topic") == t))))
+        batch.deliver("counts", batch_folder(f"{shared}/counts", filter_counts))
+    number = F.coalesce(F.get_json_object("value", "$.id"), F.regexp_extract(F.get_json_object("value", "$.raw"), "[0-9]+", 0))
+    both = spark.read.parquet(f"{shared}/approved").unionByName(spark.read.parquet(f"{shared}/error"))
+    messages = both.select(F.col("topic").alias("part"), number.cast("bigint").alias("number"))
+    counts = spark.read.parquet(f"{shared}/counts").select(F.explode(F.array(*[
+        F.struct(F.lit(f"{c}_count").alias("part"), F.col(c).alias("number")) for c in ("filtered", "approved")])).alias("c")).select("c.*")
+    return messages.unionByName(counts)
+
+
+@query(f"""WITH {ROUTE_SQL} SELECT route_state, topic, count(*) AS messages FROM routed GROUP BY ALL""")
+def route_delivered(spark, folder):
+    """Statistics of the routing job from its staged rows."""
+    value = F.when(F.col("k") == 7, F.lit("{oops")).otherwise(F.to_json(F.struct(
+        F.col("event_type").alias("DevType"), F.expr(ORG).alias("Organization"))))
+    values, shared = events(spark, folder).withColumn("value", value), shared_folder(spark)
+    batch = Batch(spark, f"{shared}/log", 0)
+    batch.stage(lambda: route_rows(values, MAPPING, ["ERROR"], 10, "event_id"))
+    batch.deliver("statistics", batch_folder(f"{shared}/statistics", routing_stats))
+    return spark.read.parquet(f"{shared}/statistics").drop("batch")
+
+
+@query(f"""WITH {E_SQL} SELECT 'NATION_' || (user_id % 25) AS sys_org, CAST(CAST(make_timestamp(epoch * 1000000) AS DATE) AS VARCHAR) AS day, count(*) AS rows,
+ sum(event_id) AS ids, count(*) FILTER (epoch % 86400 BETWEEN 36000 AND 39600) AS of_an_hour FROM e
+ WHERE CAST(make_timestamp(epoch * 1000000) AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY ALL""")
+def archive_replaced(spark, folder):
+    """Three days archived, the second one again; written, replaced and read back from the shared folder."""
+    rows = events(spark, folder).select("event_id", "epoch", F.expr(ORG).alias("organization"))
+    path = f"{shared_folder(spark)}/archive"
+    day = F.to_date(F.timestamp_seconds("epoch")).cast("string")
+    write_archive(rows.where(day.between("2024-01-10", "2024-01-12")), path, "organization", "epoch", "overwrite")
+    write_archive(rows.where(day == "2024-01-11"), path, "organization", "epoch", "overwrite")
+    back = spark.read.orc(path)
+    hour = F.col("epoch") % 86400
+    return back.groupBy("sys_org", F.make_date("sys_year", "sys_month", "sys_day").cast("string").alias("day")).agg(
+        F.count("*").alias("rows"), F.sum("event_id").alias("ids"), F.count_if(hour.between(36000, 39600)).alias("of_an_hour"))

@@ -38,13 +38,15 @@ def with_partitions(df: DataFrame, org: str, epoch: str) -> DataFrame:
 
 def write_archive(df: DataFrame, path: str, org: str, epoch: str, mode: str = "append",
                   fmt: str = "orc") -> None:
-    """Write partitioned files (batch).
+    """Write partitioned files (batch), each sorted by time.
 
     ``rebalance`` brings the rows of a partition together for few files, yet lets AQE split an
-    organization's day that is too large for one task.
+    organization's day that is too large for one task.  A scan for a time skips the stripes and row
+    groups of a day that hold none of it.  With the mode ``overwrite`` the partitions that occur among
+    the rows are replaced and all others stay, so a day that is archived again is there once.
     """
-    rows = with_partitions(df, org, epoch).hint("rebalance", *PARTITIONS)
-    rows.write.mode(mode).partitionBy(*PARTITIONS).format(fmt).save(path)
+    rows = with_partitions(df, org, epoch).hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, epoch)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).format(fmt).save(path)
 
 
 def register_partitions(spark: SparkSession, table: str, path: str, day: str) -> list[str]:

@@ -90,6 +90,11 @@ def filter_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def filter_counts(rows: DataFrame) -> DataFrame:
+    """``filter_stats`` of rows that are marked with their state."""
+    return rows.agg(*[F.count_if(F.col("state") == state).alias(state) for state in ("filtered", "approved")])
+
+
 def input_volume(df: DataFrame) -> DataFrame:
     """Messages and offset span per topic partition of a queue frame."""
     return df.groupBy("topic", "partition").agg(

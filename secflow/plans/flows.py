@@ -16,32 +16,57 @@ from secflow.operators.documents import to_documents
 from secflow.operators.envelope import parse_route_key
 from secflow.operators.hops import hop_delay, mean_hop_delay
 from secflow.operators.route import route
-from secflow.operators.scripts import apply_scripts, failed_scripts, keep_approved
-from secflow.operators.stats import filter_stats, routing_stats
+from secflow.operators.scripts import apply_scripts
+from secflow.operators.stats import filter_counts, routing_stats
 
+def route_rows(
+    values: DataFrame, mapping: Mapping[str, str], drop: Iterable[str] = (), garbage_pct: int = 0, sample_key: str = "value",
+) -> DataFrame:
+    """All messages (key, value, topic), marked with their ``route_state``; those that go nowhere have no topic."""
+    routed = route(parse_route_key(values), mapping, drop, garbage_pct, sample_key)
+    return routed.select(F.lit(None).cast("string").alias("key"), "value", "topic", "route_state")
+
+
+def filter_rows(values: DataFrame, scripts: list[tuple[str, str]], topic: str, error_topic: str = "error") -> DataFrame:
+    """All messages (key, value, topic), marked ``approved``, ``filtered`` or ``failed``.
+
+    Scripts run once for each event.  Those that no script could decide go to the error topic, with
+    the reason; those that a script rejects have no topic.
+    """
+    done = apply_scripts(values, scripts)
+    failed = F.to_json(F.struct(F.col("value").alias("raw"), F.col("script_error").alias("stacktrace")))
+    undecided = F.col("keep").isNull()
+    return done.select(
+        F.lit(None).cast("string").alias("key"), F.when(undecided, failed).otherwise(F.col("value")).alias("value"),
+        F.when(F.col("keep"), topic).when(undecided, error_topic).alias("topic"),
+        F.when(undecided, "failed").when(F.col("keep"), "approved").otherwise("filtered").alias("state"))
 
 
-def _messages(df: DataFrame, topic) -> DataFrame:
-    return df.select(F.lit(None).cast("string").alias("key"), "value", topic.alias("topic"))
+def sent(rows: DataFrame) -> DataFrame:
+    """The messages that have a topic."""
+    return rows.where("topic is not null").select("key", "value", "topic")
 
 
 def route_job(
     values: DataFrame, mapping: Mapping[str, str], drop: Iterable[str] = (), garbage_pct: int = 0, sample_key: str = "value",
 ) -> tuple[DataFrame, DataFrame]:
-    """Messages (key, value, topic) for the topics of their device types, and messages per state and topic."""
-    routed = route(parse_route_key(values), mapping, drop, garbage_pct, sample_key)
-    return _messages(routed.where(F.col("topic").isNotNull()), F.col("topic")), routing_stats(routed)
+    """Messages (key, value, topic) for the topics of their device types, and messages per state and topic.
+
+    Both frames run the job; ``streaming.batches`` stages ``route_rows`` once for both.
+    """
+    rows = route_rows(values, mapping, drop, garbage_pct, sample_key)
+    return sent(rows), routing_stats(rows)
 
 
 def filter_job(
     values: DataFrame, scripts: list[tuple[str, str]], topic: str, error_topic: str = "error",
 ) -> tuple[DataFrame, DataFrame]:
-    """Events that all scripts approve and, for the error topic, those that no script could decide; and counts."""
-    done = apply_scripts(values, scripts)
-    failed = failed_scripts(done).withColumn(
-        "value", F.to_json(F.struct(F.col("value").alias("raw"), F.col("script_error").alias("stacktrace"))))
-    sent = _messages(keep_approved(done), F.lit(topic)).unionByName(_messages(failed, F.lit(error_topic)))
-    return sent, filter_stats(done)
+    """Events that all scripts approve and, for the error topic, those that no script could decide; and counts.
+
+    Both frames run the job; ``streaming.batches`` stages ``filter_rows`` once for both.
+    """
+    rows = filter_rows(values, scripts, topic, error_topic)
+    return sent(rows), filter_counts(rows)
 
 
 def monitor_job(chains: DataFrame) -> tuple[DataFrame, DataFrame]:
