@@ -9,6 +9,7 @@ from checks.tables import (
     E_SQL, dimensions, envelope, event_id, events, leaf, normalized, pipeline, s, table,
 )
 from secflow.functions import dates, enums, ids, text
+from secflow.functions.text import once
 from secflow.operators import parsers as P
 from secflow.operators.archive import flatten
 from secflow.operators.dims import preferences, vendors
@@ -53,7 +54,7 @@ def parse_kv(spark, folder):
 
 
 F2B_LINE = (
-    "jan 21 16:34:22 host{user_id} app {date_format(timestamp_seconds(epoch), 'yyyy-MM-dd HH:mm:ss')}"
+    "mar 03 07:09:58 edge{user_id} guard {date_format(timestamp_seconds(epoch), 'yyyy-MM-dd HH:mm:ss')}"
     ",143 fail2ban.actions[{event_id}]: {if(k % 2 = 0, 'warning', 'notice')} [jail-{k}] "
     "{if(event_type = 'click', 'unban', 'ban')} 22.33.{pmod(user_id, 250)}.{k}"
 )
@@ -174,6 +175,24 @@ def parse_audit_multi(spark, folder):
         F.size(F.try_element_at("f", F.lit("msg_id"))).alias("n_ids"))
 
 
+@query("""SELECT l_suppkey AS record, CAST(count(*) AS INTEGER) AS n_names, md5(string_agg('/p' || l_partkey || '.' || l_orderkey, '|'
+  ORDER BY encode('/p' || l_partkey || '.' || l_orderkey))) AS names, CAST(count(DISTINCT 'a' || (l_orderkey % 300)) AS INTEGER) AS n_keys
+ FROM lineitem GROUP BY l_suppkey""")
+def parse_audit_long(spark, folder):
+    """Records of hundreds of lines, one for each order line of a supplier, with hundreds of keys."""
+    line = F.concat(
+        F.lit("type=PATH msg=audit(1.2:3): name=\"/p"), F.col("l_partkey").cast("string"), F.lit("."), F.col("l_orderkey").cast("string"),
+        F.lit("\" a"), (F.col("l_orderkey") % 300).cast("string"), F.lit("=x"))
+    text = F.array_join(F.array_sort(F.collect_list(line)), "\n")
+    records = table(spark, folder, "lineitem").groupBy(F.col("l_suppkey").alias("record")).agg(text.alias("raw"))
+    found = once(records, f=P.parse_audit(F.col("raw")))
+    names = F.try_element_at("f", F.lit("name"))
+    made_up = F.filter(F.map_keys("f"), lambda k: k.rlike("^a[0-9]+$"))
+    return found.select("record", F.size(names).alias("n_names"), F.md5(F.array_join(F.array_sort(names), "|")).alias("names"),
+                        F.size(made_up).alias("n_keys"))
+
+
+
 @query(f"""WITH {E_SQL} SELECT event_id, 'audit_event' AS event_type, 'u' || user_id AS parsed_username,
  CASE WHEN k % 2 = 0 THEN 'D' || k END AS parsed_domain,
  'authenticating user ''u' || user_id || '''.' AS detail FROM e""")
@@ -330,7 +349,7 @@ def normalize_ios(spark, folder):
  '22.33.' || (user_id % 250) || '.' || k AS source_ip, epoch AS "data_originTime",
  'h' || user_id || '.example.org' AS destination_fqdn, 'jail-' || k AS data_aux1,
  md5('NATION_' || (user_id % 25) || 'h' || user_id || '.example.org' || md5(
-  'jan 21 16:34:22 host' || user_id || ' app ' || strftime(make_timestamp(epoch * 1000000), '%Y-%m-%d %H:%M:%S')
+  'mar 03 07:09:58 edge' || user_id || ' guard ' || strftime(make_timestamp(epoch * 1000000), '%Y-%m-%d %H:%M:%S')
   || ',143 fail2ban.actions[' || event_id || ']: ' || CASE WHEN k % 2 = 0 THEN 'warning' ELSE 'notice' END
   || ' [jail-' || k || '] ' || CASE WHEN event_type = 'click' THEN 'unban' ELSE 'ban' END || ' 22.33.'
   || (user_id % 250) || '.' || k)) AS id

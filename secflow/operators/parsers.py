@@ -116,19 +116,29 @@ def _audit_line(line: Column) -> Column:
 
 
 def parse_audit(text: Column) -> Column:
-    """All values of every key of an audit record as ``MAP<STRING,ARRAY<STRING>>``."""
+    """All values of every key of an audit record as ``MAP<STRING,ARRAY<STRING>>``.
+
+    The entries of all lines are sorted by key and place and folded where the key changes, so the
+    work grows with the length of a record, whatever number of keys a sender makes up.
+    """
     entries = F.flatten(F.transform(F.split(text, "\n"), _audit_line))
+    placed = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("at"), _strip_quotes(e["v"]).alias("v"))))
 
-    def grouped(all_entries: Column) -> Column:
-        keys = F.array_distinct(F.transform(all_entries, lambda e: e["k"]))
-        return F.map_from_arrays(
-            keys,
-            F.transform(keys, lambda key: F.transform(
-                F.filter(all_entries, lambda e: e["k"] == key), lambda e: _strip_quotes(e["v"])
-            )),
-        )
+    def folded(ordered: Column) -> Column:
+        size = F.size(ordered)
+
+        def key(i: Column) -> Column:
+            return F.get(ordered, i)["k"]
+
+        def groups(starts: Column) -> Column:
+            values = F.transform(starts, lambda i, n: F.transform(
+                F.slice(ordered, i + 1, F.coalesce(F.get(starts, n + 1), size) - i), lambda e: e["v"]))
+            return F.map_from_arrays(F.transform(starts, key), values)
+
+        starts = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (key(i) != key(i - 1)))
+        return F.when(size > 0, let(starts, groups)).otherwise(F.create_map().cast("map<string,array<string>>"))
 
-    return let(entries, grouped)
+    return let(placed, folded)
 
 
 def _strip_quotes(value: Column) -> Column:
