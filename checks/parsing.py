@@ -406,6 +406,105 @@ def normalize_windows(spark, folder):
         "destination.ip", "destination.hostname", "data.originTime")])
 
 
+# All event ids, and what is particular to them.
+WIN_KINDS = {
+    "logon": ["4624", "4801", "4625"], "group+": ["4728", "4732", "4746", "4751", "4756", "4761", "4785", "4787"],
+    "group-": ["4729", "4733", "4747", "4752", "4757", "4762", "4786", "4788"], "group": ["4764"],
+    "user": ["4720", "4722", "4723", "4724", "4725", "4726"], "kerberos": ["4768", "4771"], "ntlm": ["4776"], "password": ["4794"],
+    "history": ["4765", "4766"], "ticket": ["4769"], "change": ["4738"], "policy": ["4719"], "object": ["4663", "5140", "5145"],
+}
+WIN_IDS = sorted(x for ids in WIN_KINDS.values() for x in ids)
+WIN_ALL = {
+    **WIN, "EventID": f"element_at(array({', '.join(WIN_IDS)}), cast(pmod(event_id, {len(WIN_IDS)}) as int) + 1)",
+    "TargetUserName": "concat('u', user_id, if(pmod(event_id, 3) = 0, '@D.ORG', ''))", "ServiceName": "if(k % 2 = 0, 'krbtgt/REALM', 'SRV')",
+    **{name: f"concat('{name}', k)" for name in (
+        "SubjectUserSid", "SubjectLogonId", "ShareName", "ShareLocalPath", "ProfilePath", "MemberName", "MemberSid", "UserParameters",
+        "AuditPolicyChanges", "SubcategoryId", "SubcategoryGuid", "CategoryId", "PrimaryGroupId", "ServiceSid", "RelativeTargetName",
+        "PreAuthType", "LogonGuid", "GroupTypeChange", "TicketOptions", "PrivilegeList", "PasswordLastSet", "AccessList")},
+}
+
+
+def of_kind(cases: dict[str, str], otherwise: str = "NULL") -> str:
+    """SQL by the kinds of event ids, several separated by blanks; an id stands for itself before its kind does."""
+    single = [f"WHEN x.id = '{key}' THEN {value}" for key, value in cases.items() if key.isdigit()]
+    kinds = [f"WHEN x.kind IN ({', '.join(repr(k) for k in key.split())}) THEN {value}" for key, value in cases.items() if not key.isdigit()]
+    return f"CASE {' '.join(single + kinds)} ELSE {otherwise} END"
+
+
+TARGET = "'u' || user_id || CASE WHEN event_id % 3 = 0 THEN '@D.ORG' ELSE '' END"
+GROUPS = "group+ group- group"
+WIN_COLUMNS = {
+    "data.msgId": "x.id",
+    "interaction.action": of_kind({
+        "4722": "'enable'", "4725": "'disable'", "4720": "'create'", "4726": "'remove'", "logon kerberos ntlm ticket": "'login'",
+        "group+": "'enable'", "group-": "'disable'", "object": MASK_SQL}, "'modify'"),
+    "interaction.status": of_kind({
+        "4625": "'failure'", "4771": "'failure'", "4766": "'failure'", "4768": "'ongoing'", "4776": "'ongoing'",
+        "password ticket": "CASE WHEN k % 2 = 0 THEN 'success' ELSE 'failure' END"}, "'success'"),
+    "subject.name": of_kind({"logon kerberos ntlm": TARGET, "ticket": "'u' || user_id"}, "'s' || user_id"),
+    "subject.domain": of_kind({
+        "kerberos": "CASE WHEN k % 2 = 0 THEN 'REALM' ELSE 'SRV' END", "ntlm": "NULL", "logon ticket": "'CORP'"}, "'SUB'"),
+    "subject.id": of_kind({"logon kerberos": "'S-' || user_id", "ntlm ticket": "NULL"}, "'SubjectUserSid' || k"),
+    "object.category": of_kind({"4625": "'account'", "4663": "'file'", "logon": "'host'", "object": "'url'", GROUPS: "'system'", "policy": "'rule'"}, "'account'"),
+    "object.name": of_kind({
+        "4663": "NULL", f"{GROUPS} user history change": TARGET, "ticket": "CASE WHEN k % 2 = 0 THEN 'krbtgt/REALM' ELSE 'SRV' END",
+        "policy": "'SubcategoryId' || k", "object": "'ShareName' || k"}),
+    "object.domain": of_kind({f"{GROUPS} user history change": "'CORP'"}),
+    "object.id": of_kind({f"{GROUPS} user history change": "'S-' || user_id", "ticket": "'ServiceSid' || k", "policy": "'SubcategoryGuid' || k"}),
+    "object.path": of_kind({"4663": "'C:\\d' || k", "object": "'ShareLocalPath' || k", "change": "'ProfilePath' || k"}),
+    "object.property": of_kind({GROUPS: "'GroupMember'"}),
+    "object.value": of_kind({GROUPS: "'MemberName' || k", "change": "'UserParameters' || k", "policy": "'AuditPolicyChanges' || k"}),
+    "object.group": of_kind({"change": "'PrimaryGroupId' || k", "policy": "'CategoryId' || k"}),
+    "data.aux1": of_kind({"logon": "'s' || user_id", GROUPS: "'MemberSid' || k", "object": "'RelativeTargetName' || k"}),
+    "data.aux3": of_kind({
+        "logon": "'SubjectUserSid' || k", "kerberos ticket": "'TicketOptions' || k", "history": "'PrivilegeList' || k",
+        "change": "'PasswordLastSet' || k", "object": "'AccessList' || k"}),
+}
+
+
+@query(f"""WITH {E_SQL}, x AS (SELECT e.*, t.id, t.kind FROM e JOIN (VALUES
+ {', '.join(f"({WIN_IDS.index(x)}, '{x}', '{kind}')" for kind, ids in WIN_KINDS.items() for x in ids)}) t(n, id, kind) ON t.n = e.event_id % {len(WIN_IDS)})
+SELECT event_id, {', '.join(f'{value} AS "{name.replace(".", "_")}"' for name, value in WIN_COLUMNS.items())} FROM x WHERE {VALID_ORG}""")
+def normalize_windows_ids(spark, folder):
+    """Every mapped event id, with what is particular to it."""
+    df = normalized(spark, folder, preparsed(WIN_ALL), "windows").where("outcome = 'valid'")
+    return df.select(event_id(), *[leaf(x) for x in WIN_COLUMNS])
+
+
+# All single-line audit types: action, category of the object.
+AUDIT_TYPES = {
+    "ADD_GROUP": ("create", "userGroup"), "ADD_USER": ("create", "account"), "DEL_GROUP": ("remove", "userGroup"), "DEL_USER": ("remove", "account"),
+    "EXECVE": ("execute", "command"), "SERVICE_START": ("start", "process"), "SERVICE_STOP": ("stop", "process"), "USER_AUTH": ("login", "system"),
+    "USER_CHAUTHTOK": ("modify", "account"), "USER_CMD": ("execute", "command"), "USER_END": ("logout", "system"), "USER_LOGIN": ("login", "system"),
+}
+AUDIT_EACH = (
+    f"node=n type={{element_at(array({', '.join(repr(t) for t in AUDIT_TYPES)}), cast(pmod(event_id, {len(AUDIT_TYPES)}) as int) + 1)}} "
+    "msg=audit({epoch}.111:{event_id}): pid={user_id} uid={k} auid=7 ses=3 subj=sub a0=\"ls\" msg='op=op{k} id={event_id} cwd=\"/w\" cmd=c{k} "
+    "exe=\"/bin/x\" hostname=h addr=10.0.0.{k} terminal=tty{k} res={if(k % 2 = 0, 'success', 'failed')}'")
+
+
+@query(f"""WITH {E_SQL}, x AS (SELECT e.*, t.* FROM e JOIN (VALUES
+ {', '.join(f"({n}, '{t}', '{a}', '{c}')" for n, (t, (a, c)) in enumerate(AUDIT_TYPES.items()))}) t(n, t, a, c) ON t.n = e.event_id % {len(AUDIT_TYPES)})
+SELECT event_id, t AS "data_msgId", a AS interaction_action, c AS object_category,
+ CASE WHEN t = 'EXECVE' OR k % 2 = 0 THEN 'success' ELSE 'failure' END AS interaction_status,
+ CASE WHEN t IN ('USER_AUTH', 'USER_END', 'USER_LOGIN') THEN CAST(event_id AS VARCHAR) ELSE CAST(k AS VARCHAR) END AS subject_id,
+ CASE WHEN t = 'USER_AUTH' THEN 'account' END AS subject_category, CAST(event_id AS VARCHAR) AS object_id, 'ls' AS object_name,
+ '10.0.0.' || k AS source_ip, CAST(user_id AS VARCHAR) AS data_aux2, '3' AS data_aux4,
+ CASE WHEN t IN ('USER_AUTH', 'USER_END') THEN 'tty' || k WHEN t = 'USER_CMD' THEN 'c' || k ELSE 'sub' END AS data_aux5,
+ CASE WHEN t = 'USER_CMD' THEN 'sub' ELSE '/bin/x' END AS data_aux6,
+ CASE WHEN t = 'USER_AUTH' THEN 'op' || k WHEN t <> 'USER_CMD' THEN 'tty' || k END AS data_aux7,
+ CASE WHEN t = 'USER_AUTH' THEN 'sub' WHEN t = 'USER_CHAUTHTOK' THEN 'op' || k END AS data_aux8,
+ CASE WHEN t = 'USER_CMD' THEN 'tty' || k WHEN t = 'USER_LOGIN' THEN 'sub' END AS data_aux9,
+ CASE WHEN t = 'USER_CMD' THEN '/w' WHEN t = 'USER_END' THEN 'op' || k END AS data_aux10
+ FROM x WHERE {VALID_ORG}""")
+def normalize_audit_types(spark, folder):
+    """Every single-line audit type but AVC, whose line has another form."""
+    df = normalized(spark, folder, s(AUDIT_EACH), "audit").where("outcome = 'valid'")
+    return df.select(event_id(), *[leaf(x) for x in (
+        "data.msgId", "interaction.action", "object.category", "interaction.status", "subject.id", "subject.category", "object.id",
+        "object.name", "source.ip", *[f"data.aux{n}" for n in (2, 4, 5, 6, 7, 8, 9, 10)])])
+
+
 AUDIT_SINGLE = (
     "node=n type={case event_type when 'click' then 'USER_AUTH' when 'view' then 'EXECVE' "
     "when 'error' then 'ADD_USER' when 'purchase' then 'USER_CMD' else 'BOGUS' end} "
