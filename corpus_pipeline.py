@@ -23,16 +23,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the smallest id; of equal ids, the first by its text.
+    """One row of each group of near copies: the one of the smallest id, null last; of equal ids, the first by its key.
 
-    A document without an id can't stand for a group and stays.
+    Rows are told apart by a key made of id and text, so different texts of one id are judged each by itself, and rows
+    without an id like any other. Rows of equal id and text are copies. If different rows shared a key, both would stay.
     """
-    groups = simhash.simhash_components(docs, words=4, max_bits=4)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).filter("doc_id is not null").join(first, "doc_id", "left_semi")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
-    kept = named.withColumn("_place", place).filter("_place = 1").select(*COLUMNS)
-    return kept.unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("_key"))
+    groups = simhash.simhash_components(keyed, id_col="_key", words=4, max_bits=4)
+    members = groups.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(keyed.select("_key", "doc_id").distinct(), "_key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_key"))
+    chosen = members.groupBy("component_id").agg(first.alias("first")).select("first._key")
+    place = F.row_number().over(Window.partitionBy("_key", "doc_id", "text").orderBy("lang", "source", "n_chars"))
+    return keyed.join(chosen, "_key", "left_semi").withColumn("_place", place).filter("_place = 1").select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
