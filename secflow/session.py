@@ -12,8 +12,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators assume; safe to call repeatedly.
 
     All event times are UTC epoch seconds, so the session zone must be UTC.  AQE
-    picks broadcast or shuffle joins from measured sizes and splits hot keys, which
-    is why no operator forces a broadcast.
+    picks broadcast or shuffle joins from measured sizes and splits hot keys; operators
+    mark a side for broadcast only behind a check of its size (``dimension_side``).
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
