@@ -60,6 +60,14 @@ class Layers:
     ranges: list[RangeLayer] = field(default_factory=list)
     event_path: Column | None = None
     rule_path: Column | None = None
+    #: The parts of the event path, where they are not those of ``event_path``.
+    event_segments: Column | None = None
+
+    @property
+    def parts(self) -> Column | None:
+        if self.event_segments is not None:
+            return F.transform(self.event_segments, _unmarked)
+        return None if self.event_path is None else path_segments(_unmarked(self.event_path))
 
 
 def _joined_keys(columns: list[str]) -> Column:
@@ -247,8 +255,8 @@ def _event_columns(layers: Layers) -> dict[str, Column]:
         f"e_{layer.name}_{i}": _unmarked(key)
         for layer in layers.exact for i, key in enumerate(layer.event_keys)
     }
-    if layers.event_path is not None:
-        columns["e_path"] = F.array_join(path_segments(_unmarked(layers.event_path)), MARK)
+    if layers.parts is not None:
+        columns["e_path"] = F.array_join(layers.parts, MARK)
     columns |= {f"p{i}": layer.point.cast("bigint") for i, layer in enumerate(layers.ranges)}
     return columns
 
@@ -267,7 +275,7 @@ def _probes(lookups: DataFrame, layers: Layers) -> DataFrame:
 
 def find_rules(lookups: DataFrame, prepared: Prepared, layers: Layers, payload: list[str], by: str) -> DataFrame:
     """(by, rule) for those lookups that a rule fits; ``lookups`` has the columns of an event's keys and points."""
-    axes, path = range(len(layers.ranges)), layers.event_path is not None
+    axes, path = range(len(layers.ranges)), layers.parts is not None
     names = [layer.name for layer in layers.exact]
     key = F.concat_ws(MARK, *[f"c_{n}.key" for n in names])
     mask = F.concat(*[F.when(F.col(f"c_{n}.key") == ANY, "1").otherwise("0") for n in names])
