@@ -15,20 +15,20 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
+_SIGN = SPACE.encode()
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Units longer than this are searched one at a time.
 LONG = 40
-#: Distinct units that a worker remembers, and texts that it segments at once.
+#: Distinct units that a worker remembers, and ids of all segmentations that it gives out at once.
 REMEMBERED = 500_000
-PART = 400
+PART = 1 << 20
 #: Characters of texts whose units are learned and looked up together, unless they are too many distinct ones.
 TOGETHER = 8 << 20
 #: Units whose lattices are held at once.
@@ -49,7 +49,10 @@ class Model:
         self.ids = {self.pieces[i]: i for i in plain}
         self.scores = {self.pieces[i]: float(model.get_score(i)) for i in plain}
         self.bytes = {self.pieces[i]: i for i in range(len(self.pieces)) if model.is_byte(i)}
-        self.coded = [bytes([int(p[3:5], 16)]) if p in self.bytes else p.encode() for p in self.pieces]
+        coded = [bytes([int(p[3:5], 16)]) if p in self.bytes else p.replace(SPACE, " ").encode() for p in self.pieces]
+        self.spelling = np.frombuffer(b"".join(coded), np.uint8)
+        self.spelling_size = np.array([len(x) for x in coded], np.int64)
+        self.spelling_begin = np.cumsum(self.spelling_size) - self.spelling_size
         self.unknown = min(self.scores.values()) - 10.0
         self.unk_id = model.unk_id()
         self.longest = max(map(len, self.ids))
@@ -152,15 +155,23 @@ class Model:
         Of equal scores the one with the longer last piece comes first, then with the longer piece before it.
         """
         best = self.forward(unit)
-        queue = [(-best[-1], (), len(unit), 0.0)]
+        # Partial segmentations in the order of their pieces from the end. Each has a whole one as good as it is worth,
+        # so the best n of them hold the n best whole ones, and of equal ones the first.
+        queue = [(-best[-1], len(unit), 0.0, None)]
         out = []
         while queue and len(out) < n:
-            worth, starts, at, behind = heapq.heappop(queue)
+            k = min(range(len(queue)), key=lambda i: queue[i][0])
+            worth, at, behind, path = queue.pop(k)
             if at == 0:
-                out.append((-worth, starts))
+                starts = []
+                while path is not None:
+                    path, start = path
+                    starts.append(start)
+                out.append((-worth, tuple(reversed(starts))))
                 continue
-            for start, score in self.edges(unit, at):
-                heapq.heappush(queue, (-(behind + score + best[start]), (*starts, start), start, behind + score))
+            queue[k:k] = [(-(behind + score + best[start]), start, behind + score, (path, start)) for start, score in self.edges(unit, at)]
+            if len(queue) > n - len(out):
+                queue = [queue[i] for i in sorted(sorted(range(len(queue)), key=lambda i: queue[i][0])[: n - len(out)])]
         return out
 
     def ids_of(self, unit: str, starts: tuple[int, ...]) -> tuple[int, ...]:
@@ -339,26 +350,20 @@ class Model:
                 at = cuts[k]
         return np.concatenate([*out, ids[at:]])
 
-    def spells_alike(self, ids: np.ndarray, count: np.ndarray, units: list[str], opened: list[int], picks: tuple[int, ...], n: int) -> bool:
-        """Whether the units that take another choice have the bytes that they have in the best segmentation."""
-        cuts = np.cumsum(count)
-        return all(
-            self.coded_bytes(ids[cuts[k] - count[k] : cuts[k]]) == b"".join(map(self.coded.__getitem__, self.unit_list(units[k], n)[pick][1]))
-            for k, pick in zip(opened, picks, strict=True) if pick
-        )
-
-    def coded_bytes(self, ids: np.ndarray) -> bytes:
-        """The bytes of ids, with the model's own spaces."""
-        return b"".join(map(self.coded.__getitem__, ids.tolist()))
-
-    @staticmethod
-    def plain(coded: bytes) -> str:
-        """The text of bytes with the model's own spaces; the one in front goes."""
-        return coded.decode("utf-8", "replace").replace(SPACE, " ")[1:]
+    def spelled(self, segmentations: list[np.ndarray]) -> list[bytes]:
+        """The text of each segmentation in UTF-8, from all its ids: byte pieces become characters again, and the space in front goes."""
+        ids = np.concatenate(segmentations)
+        size = self.spelling_size[ids]
+        cuts = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(self.spelling_begin[ids] - cuts[:-1], size)
+        place += np.arange(cuts[-1])
+        coded = self.spelling[place].tobytes()
+        ends = cuts[np.cumsum([0, *map(len, segmentations)])].tolist()
+        return [coded[a:b].replace(_SIGN, b" ")[1:] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids: byte pieces become characters again, and the space in front goes."""
-        return self.plain(b"".join(map(self.coded.__getitem__, ids)))
+        """The text of ids."""
+        return self.spelled([np.array(ids, np.int32)])[0].decode("utf-8", "replace")
 
 
 def model(path: str | None = None) -> Model:
@@ -383,6 +388,53 @@ def _together(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+class _Part:
+    """Segmentations of some texts on the way into Arrow."""
+
+    def __init__(self, with_ids: bool, with_decoded: bool):
+        self.with_ids, self.with_decoded = with_ids, with_decoded
+        self.of_text, self.scores, self.round_trips, self.crcs, self.ids, self.decoded = [], [], [], [], [], []
+        self.n_ids = 0
+
+    def add(self, text: str, scores: list[float], ids: list[np.ndarray], spelled: list[bytes]) -> None:
+        wanted = text.replace(SPACE, " ").encode()
+        self.of_text.append(len(scores))
+        self.scores += scores
+        self.round_trips += [x == wanted for x in spelled]
+        self.crcs += [zlib.crc32(x.astype("<u4", copy=False)) for x in ids]
+        self.ids += ids
+        self.n_ids += sum(map(len, ids))
+        if self.with_decoded:
+            self.decoded.append(spelled[0].decode("utf-8", "replace"))
+
+    @property
+    def full(self) -> bool:
+        return self.n_ids >= PART
+
+    def rows(self, doc_id: pa.Array) -> pa.RecordBatch:
+        """One row for each text."""
+        cuts = np.cumsum([0, *self.of_text])
+        best, offsets = cuts[:-1], pa.array(cuts, pa.int32())
+        sizes = np.array([len(x) for x in self.ids], np.int64)
+        one = {
+            "score": pa.array(self.scores, pa.float64()), "n_pieces": pa.array(sizes), "ids_crc32": pa.array(self.crcs, pa.int64()),
+            "round_trip": pa.array(self.round_trips, pa.bool_()),
+        }
+        out = {"doc_id": doc_id, **{name: one[name].take(pa.array(best)) for name in ("n_pieces", "ids_crc32", "round_trip")}}
+        out["scores"] = pa.ListArray.from_arrays(offsets, one["score"])
+        if self.with_ids:
+            one["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(self.ids)))
+        out["segmentations"] = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(list(one.values()), list(one)))
+        names = ["doc_id", "n_pieces", "ids_crc32", "scores", "round_trip", "segmentations"]
+        if self.with_ids:
+            out["ids"] = one["ids"].take(pa.array(best))
+            names.append("ids")
+        if self.with_decoded:
+            out["decoded"] = pa.array(self.decoded, pa.string())
+            names.append("decoded")
+        return pa.RecordBatch.from_arrays([out[x] for x in names], names)
+
+
 def encode_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, path: str | None = None,
     with_ids: bool = True, with_decoded: bool = False,
@@ -390,45 +442,29 @@ def encode_documents(
     """doc_id, n_pieces, ids_crc32, scores, round_trip and segmentations, and the ids and the decoded text if asked for.
 
     ``segmentations`` are the ``n`` best, best first: the score of each, its number of pieces, the CRC-32 of its ids as
-    little-endian 32-bit numbers, whether its own ids decode to the text, and the ids if asked for. The columns beside
-    them are those of the best one; ``scores`` are those of all. A text that holds the model's own space sign decodes
+    little-endian 32-bit numbers, whether its own ids, all of them decoded, give the text, and the ids if asked for. The
+    columns beside them are those of the best one; ``scores`` are those of all. A text that holds the model's own space sign decodes
     with plain spaces in its place. Fewer segmentations come if a text has fewer; a null or empty text has one, of no
     pieces, with score 0. Equal rows stay. An empty table gives none. Only the id and the text are read.
     """
 
-    def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = model(path)
         for batch in batches:
-            texts = [x or "" for x in batch["text"]]
+            texts = [x or "" for x in batch["text"].to_pylist()]
             for first, last in _together(texts):
                 split = [lattice.units(x) for x in texts[first:last]]
-                found_best = zip(texts[first:last], split, lattice.best_of(split), strict=True)
-                for at in range(first, last, PART):
-                    part = batch["doc_id"].iloc[at : min(at + PART, last)]
-                    out: dict[str, list] = {"n_pieces": [], "ids_crc32": [], "scores": [], "round_trip": [], "segmentations": [], "ids": [], "decoded": []}
-                    for text, units, (total, loss, best, count) in islice(found_best, len(part)):
-                        coded = lattice.coded_bytes(best)
-                        decoded = lattice.plain(coded)
-                        wanted = text.replace(SPACE, " ")
-                        found = []
-                        for score, opened, picks in lattice.choices(units, total, loss, n):
-                            ids = lattice.spliced(best, count, units, opened, picks, n)
-                            # Equal bytes decode to equal texts, so only other bytes are decoded by themselves.
-                            alike = lattice.spells_alike(best, count, units, opened, picks, n)
-                            back = decoded if alike else lattice.plain(lattice.coded_bytes(ids))
-                            found.append({"score": score, "n_pieces": len(ids), "ids_crc32": zlib.crc32(ids.astype("<u4", copy=False)), "round_trip": back == wanted} | ({"ids": ids} if with_ids else {}))
-                        for name in ("n_pieces", "ids_crc32", "round_trip"):
-                            out[name].append(found[0][name])
-                        out["scores"].append([x["score"] for x in found])
-                        out["segmentations"].append(found)
-                        out["ids"].append(best)
-                        out["decoded"].append(decoded)
-                    for name, asked in (("ids", with_ids), ("decoded", with_decoded)):
-                        if not asked:
-                            del out[name]
-                    yield pd.DataFrame({"doc_id": part.array, **out})
+                part, at = _Part(with_ids, with_decoded), first
+                for k, (total, loss, best, count) in enumerate(lattice.best_of(split), first):
+                    units = split[k - first]
+                    chosen = lattice.choices(units, total, loss, n)
+                    ids = [lattice.spliced(best, count, units, opened, picks, n) for _, opened, picks in chosen]
+                    part.add(texts[k], [score for score, _, _ in chosen], ids, lattice.spelled(ids))
+                    if part.full or k + 1 == last:
+                        yield part.rows(batch["doc_id"].slice(at, k + 1 - at))
+                        part, at = _Part(with_ids, with_decoded), k + 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     one = "score:double,n_pieces:long,ids_crc32:long,round_trip:boolean" + ",ids:array<int>" * with_ids
     more = ", ids array<int>" * with_ids + ", decoded string" * with_decoded
-    return rows.mapInPandas(segment, f"doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean, segmentations array<struct<{one}>>{more}")
+    return rows.mapInArrow(segment, f"doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean, segmentations array<struct<{one}>>{more}")

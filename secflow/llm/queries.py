@@ -65,8 +65,8 @@ def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 4 best segmentations of each text into pieces: score, number and digest of the ids, and the round trip of each."""
-    return pieces.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
+    """The 4 best segmentations of each text into pieces: ids, their score, number, digest and round trip, and the decoded text."""
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), with_decoded=True).drop("ids")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
