@@ -14,10 +14,12 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,19 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MODELS: dict[str, "Model"] = {}
 
 
+class _Units(Sequence):
+    """The units of a text by their numbers among the distinct ones of many texts."""
+
+    def __init__(self, distinct: list[str], which: np.ndarray):
+        self.distinct, self.which = distinct, which
+
+    def __len__(self) -> int:
+        return len(self.which)
+
+    def __getitem__(self, k: int) -> str:
+        return self.distinct[self.which[k]]
+
+
 class Model:
     """Pieces, scores and lattices of one model file."""
 
@@ -93,14 +108,22 @@ class Model:
     def _slot(names: np.ndarray, level: int) -> np.ndarray:
         return ((names * np.uint64(0x9FB21C651E98DF25 + 2 * level)) >> np.uint64(47)).astype(np.int64)
 
-    def find(self, names: np.ndarray) -> np.ndarray:
-        """For each name its place among the sorted names, or the number of them if it is not there."""
-        padded = self._padded
-        out = np.full(len(names), len(self.names), np.int32)
-        for level, slots in enumerate(self.slots):
-            at = slots[self._slot(names, level)]
-            np.copyto(out, at, where=padded[at] == names)
-        return out
+    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which names are pieces, in any order, and the place of each among the sorted names."""
+        padded, none = self._padded, len(self.names)
+        at = self.slots[0][self._slot(names, 0)]
+        found = padded[at] == names
+        there = np.flatnonzero(found)
+        all_there, places = [there], [at[there]]
+        rest = np.flatnonzero(~found & (at < none))  # a name goes to the next table only if its slot is taken
+        for level, slots in enumerate(self.slots[1:], 1):
+            own = names[rest]
+            at = slots[self._slot(own, level)]
+            found = padded[at] == own
+            all_there.append(rest[found])
+            places.append(at[found])
+            rest = rest[~found & (at < none)]
+        return np.concatenate(all_there), np.concatenate(places)
 
     @property
     def _padded(self) -> np.ndarray:
@@ -200,29 +223,34 @@ class Model:
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).astype(np.uint64) + np.uint64(1)
         prefix = np.zeros((length + 1, n), np.uint64)
         np.cumsum(codes.T * self.power[:length, None], axis=0, out=prefix[1:])
-        score: dict[tuple[int, int], np.ndarray] = {}
-        piece: dict[tuple[int, int], np.ndarray] = {}
+        edges: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # units, scores and ids of the pieces
         for end in range(1, length + 1):
             for start in range(max(0, end - self.longest), end):
-                names = (prefix[end] - prefix[start]) * self.inverse[start]
-                at = self.find(names)
-                score[start, end] = self.name_score[at]
-                piece[start, end] = self.name_id[at]
+                there, at = self.find((prefix[end] - prefix[start]) * self.inverse[start])
+                score, piece = self.name_score[at], self.name_id[at]
                 if start == end - 1:
-                    score[start, end][piece[start, end] < 0] = self.unknown
+                    lacks = np.ones(n, bool)
+                    lacks[there] = False
+                    lacks = np.flatnonzero(lacks)
+                    there = np.concatenate([there, lacks])
+                    score = np.concatenate([score, np.full(len(lacks), self.unknown)])
+                    piece = np.concatenate([piece, np.full(len(lacks), -1, np.int32)])
+                if len(there):
+                    edges[start, end] = there, score, piece
         best, back = np.full((length + 1, n), -np.inf), np.zeros((length + 1, n), np.int32)
         last = np.zeros((length + 1, n), np.int32)  # id of the best piece that ends here, -1 for an unknown character
         best[0] = 0.0
-        for (start, end), s in score.items():  # by end, then by start: the longest piece wins a tie
-            value = best[start] + s
-            better = value > best[end]
-            best[end][better] = value[better]
-            back[end][better] = start
-            last[end][better] = piece[start, end][better]
+        for (start, end), (there, score, piece) in edges.items():  # by end, then by start: the longest piece wins a tie
+            value = best[start][there] + score
+            better = value > best[end][there]
+            there = there[better]
+            best[end][there] = value[better]
+            back[end][there] = start
+            last[end][there] = piece[better]
         after = np.full((length + 1, n), -np.inf)
         after[length] = 0.0
-        for (start, end), s in sorted(score.items(), key=lambda x: -x[0][1]):
-            after[start] = np.maximum(after[start], s + after[end])
+        for (start, end), (there, score, _) in sorted(edges.items(), key=lambda x: -x[0][1]):
+            after[start][there] = np.maximum(after[start][there], score + after[end][there])
         came = np.full((length + 1, n), -1, np.int32)  # start of the best path's piece that ends here
         at, every = np.full(n, length), np.arange(n)
         paths, ids = [], []
@@ -233,9 +261,9 @@ class Model:
             ids.append(np.where(at > 0, last[at, every], -2))
             at = start
         second = np.full(n, -np.inf)
-        for (start, end), s in score.items():
-            through = best[start] + s + after[end]
-            second = np.maximum(second, np.where(came[end] == start, -np.inf, through))
+        for (start, end), (there, score, _) in edges.items():
+            through = best[start][there] + score + after[end][there]
+            second[there] = np.maximum(second[there], np.where(came[end][there] == start, -np.inf, through))
         loss = best[length] - second
         path, steps = np.stack(ids[::-1], axis=1), np.stack(paths[::-1], axis=1)
         there = path != -2
@@ -270,21 +298,27 @@ class Model:
 
     def encode_units(self, units: list[str], n: int) -> list[tuple[float, list[int]]]:
         total, loss, ids, count = self.best(units)
-        return [(score, self.spliced(ids, count, units, opened, picks, n).tolist()) for score, opened, picks in self.choices(units, total, loss, n)]
+        return [(score, x.tolist()) for score, x in self.segmentations(units, total, loss, ids, count, n)]
+
+    def segmentations(self, units: Sequence[str], total: float, loss: np.ndarray, ids: np.ndarray, count: np.ndarray, n: int) -> list[tuple[float, np.ndarray]]:
+        """The ``n`` best segmentations of units whose ``best`` is known: (score, ids)."""
+        cuts = np.cumsum(count)
+        return [(score, self.spliced(ids, count, cuts, units, opened, picks, n)) for score, opened, picks in self.choices(units, total, loss, n)]
 
     def numbers(self, units: list[str], most: int | None = None) -> np.ndarray | None:
         """The numbers of units, which are learned if need be; None if more than ``most`` of them are unknown."""
-        found = list(map(self.known.get, units))
-        if None in found:
-            fresh = {unit for unit, number in zip(units, found, strict=True) if number is None}
+        out = np.array(list(map(self.known.get, units, repeat(-1))), np.int64)
+        lacking = np.flatnonzero(out < 0).tolist()
+        if lacking:
+            fresh = {units[k] for k in lacking}
             if len(self.known) + len(fresh) > REMEMBERED:
-                fresh = set(units)
+                fresh, lacking = set(units), range(len(units))
                 self.forget()
             if most is not None and len(fresh) > most:
                 return None
             self.learn(fresh)
-            found = list(map(self.known.__getitem__, units))
-        return np.array(found, np.int64)
+            out[lacking] = [self.known[units[k]] for k in lacking]
+        return out
 
     def best(self, units: list[str]) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         """Score, loss of each unit's second choice, ids and number of ids of each unit, of the best segmentation."""
@@ -301,13 +335,28 @@ class Model:
             return 0.0, np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int64)
         return sum(totals), np.concatenate(losses), np.concatenate(ids), np.concatenate(counts)
 
-    def best_of(self, split: list[list[str]]) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
-        """``best`` of several texts, whose arrays are cut out of those of all."""
-        sizes = [len(units) for units in split]
-        at = self.numbers([unit for units in split for unit in units], REMEMBERED)
+    def spaced(self, text: str) -> bytes:
+        """The units of a text in UTF-8 with a blank between each two."""
+        if not text or SPACE in text or "  " in text or text[0] == " ":
+            return " ".join(self.units(text)).encode()
+        return _SIGN + text.encode().replace(b" ", b" " + _SIGN)
+
+    def best_of(self, texts: list[str]) -> Iterator[tuple[Sequence[str], float, np.ndarray, np.ndarray, np.ndarray]]:
+        """The units and ``best`` of several texts, whose arrays are cut out of those of all. Each distinct unit is looked up once."""
+        spaced = [self.spaced(x) for x in texts]
+        sizes = [x.count(b" ") + 1 if x else 0 for x in spaced]
+        joined = b" ".join(filter(None, spaced))
+        one = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(joined)])), pa.py_buffer(joined)])
+        coded = pc.split_pattern(one, " ").values.dictionary_encode()
+        distinct, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        del spaced, joined, one, coded
+        at = self.numbers(distinct, REMEMBERED) if any(sizes) else None
         if at is None:
-            yield from map(self.best, split)
+            for text in texts:
+                units = self.units(text)
+                yield units, *self.best(units)
             return
+        at = at[which]
         count, loss, total = self.count[at], self.loss[at], self.total[at]
         cuts = np.cumsum(count)
         ids = self.flat[np.repeat(self.begin[at] - (cuts - count), count) + np.arange(count.sum())]
@@ -315,10 +364,10 @@ class Model:
         for size in sizes:
             last += size
             end = int(cuts[last - 1]) if last else 0
-            yield float(total[first:last].sum()), loss[first:last], ids[begin:end], count[first:last]
+            yield _Units(distinct, which[first:last]), float(total[first:last].sum()), loss[first:last], ids[begin:end], count[first:last]
             first, begin = last, end
 
-    def choices(self, units: list[str], total: float, loss: np.ndarray, n: int) -> list[tuple[float, list[int], tuple[int, ...]]]:
+    def choices(self, units: Sequence[str], total: float, loss: np.ndarray, n: int) -> list[tuple[float, list[int], tuple[int, ...]]]:
         """The ``n`` best segmentations: score, the units that were opened, and which of its own each takes.
 
         A-star over the opened units: what the others and all choices not yet made score at best is known exactly.
@@ -339,11 +388,11 @@ class Model:
                     heapq.heappush(queue, (worth + lists[i][pick][0] - lists[i][pick + 1][0], following))
         return out
 
-    def spliced(self, ids: np.ndarray, count: np.ndarray, units: list[str], opened: list[int], picks: tuple[int, ...], n: int) -> np.ndarray:
+    def spliced(self, ids: np.ndarray, count: np.ndarray, cuts: np.ndarray, units: Sequence[str], opened: list[int], picks: tuple[int, ...], n: int) -> np.ndarray:
         """The ids of a segmentation: those of the best one but for the units that take another choice."""
         if not any(picks):
             return ids
-        cuts, out, at = np.cumsum(count), [], 0
+        out, at = [], 0
         for k, pick in zip(opened, picks, strict=True):
             if pick:
                 out += [ids[at : cuts[k] - count[k]], np.array(self.unit_list(units[k], n)[pick][1], np.int32)]
@@ -391,8 +440,8 @@ def _together(texts: list[str]) -> Iterator[tuple[int, int]]:
 class _Part:
     """Segmentations of some texts on the way into Arrow."""
 
-    def __init__(self, with_ids: bool, with_decoded: bool):
-        self.with_ids, self.with_decoded = with_ids, with_decoded
+    def __init__(self, with_ids: bool, best_apart: bool, with_decoded: bool):
+        self.with_ids, self.best_apart, self.with_decoded = with_ids, best_apart, with_decoded
         self.of_text, self.scores, self.round_trips, self.crcs, self.ids, self.decoded = [], [], [], [], [], []
         self.n_ids = 0
 
@@ -426,7 +475,7 @@ class _Part:
             one["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(self.ids)))
         out["segmentations"] = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(list(one.values()), list(one)))
         names = ["doc_id", "n_pieces", "ids_crc32", "scores", "round_trip", "segmentations"]
-        if self.with_ids:
+        if self.with_ids and self.best_apart:
             out["ids"] = one["ids"].take(pa.array(best))
             names.append("ids")
         if self.with_decoded:
@@ -437,13 +486,13 @@ class _Part:
 
 def encode_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, path: str | None = None,
-    with_ids: bool = True, with_decoded: bool = False,
+    with_ids: bool = True, with_decoded: bool = False, best_apart: bool = True,
 ) -> DataFrame:
     """doc_id, n_pieces, ids_crc32, scores, round_trip and segmentations, and the ids and the decoded text if asked for.
 
     ``segmentations`` are the ``n`` best, best first: the score of each, its number of pieces, the CRC-32 of its ids as
     little-endian 32-bit numbers, whether its own ids, all of them decoded, give the text, and the ids if asked for. The
-    columns beside them are those of the best one; ``scores`` are those of all. A text that holds the model's own space sign decodes
+    columns beside them are those of the best one, its ids only if ``best_apart``; ``scores`` are those of all. A text that holds the model's own space sign decodes
     with plain spaces in its place. Fewer segmentations come if a text has fewer; a null or empty text has one, of no
     pieces, with score 0. Equal rows stay. An empty table gives none. Only the id and the text are read.
     """
@@ -453,18 +502,16 @@ def encode_documents(
         for batch in batches:
             texts = [x or "" for x in batch["text"].to_pylist()]
             for first, last in _together(texts):
-                split = [lattice.units(x) for x in texts[first:last]]
-                part, at = _Part(with_ids, with_decoded), first
-                for k, (total, loss, best, count) in enumerate(lattice.best_of(split), first):
-                    units = split[k - first]
-                    chosen = lattice.choices(units, total, loss, n)
-                    ids = [lattice.spliced(best, count, units, opened, picks, n) for _, opened, picks in chosen]
-                    part.add(texts[k], [score for score, _, _ in chosen], ids, lattice.spelled(ids))
+                part, at = _Part(with_ids, best_apart, with_decoded), first
+                for k, (units, *best) in enumerate(lattice.best_of(texts[first:last]), first):
+                    found = lattice.segmentations(units, *best, n)
+                    ids = [x for _, x in found]
+                    part.add(texts[k], [score for score, _ in found], ids, lattice.spelled(ids))
                     if part.full or k + 1 == last:
                         yield part.rows(batch["doc_id"].slice(at, k + 1 - at))
-                        part, at = _Part(with_ids, with_decoded), k + 1
+                        part, at = _Part(with_ids, best_apart, with_decoded), k + 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     one = "score:double,n_pieces:long,ids_crc32:long,round_trip:boolean" + ",ids:array<int>" * with_ids
-    more = ", ids array<int>" * with_ids + ", decoded string" * with_decoded
+    more = ", ids array<int>" * (with_ids and best_apart) + ", decoded string" * with_decoded
     return rows.mapInArrow(segment, f"doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean, segmentations array<struct<{one}>>{more}")

@@ -66,7 +66,7 @@ def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 4 best segmentations of each text into pieces: ids, their score, number, digest and round trip, and the decoded text."""
-    return pieces.encode_documents(table(spark, sf_dir, "documents"), with_decoded=True).drop("ids")
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), with_decoded=True, best_apart=False)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,3 +50,17 @@ def test_long_units_keep_few_partial_segmentations():
 def test_large_ids_beside_null_ones(spark):
     docs = spark.createDataFrame([(2**53 + 1, "the cat"), (None, "sat")], "doc_id long, text string").coalesce(1)
     assert {r.doc_id for r in pieces.encode_documents(docs).collect()} == {2**53 + 1, None}
+
+
+def test_units_looked_up_together_are_those_of_each_text(monkeypatch):
+    model, r = pieces.model(), random.Random(21)
+    texts = ["", " ", "  ", " a", "a ", "a  b", "▁x ▁", "\0 \0", "a\tb c\n d", "=" * 90 + " x", "é漢 \U0001f600x"]
+    texts += ["".join(r.choice(["a", "b", " ", "  ", "▁", "\n", "漢"]) for _ in range(r.randint(0, 40))) for _ in range(100)]
+    for remembered in (500_000, 30):
+        monkeypatch.setattr(pieces, "REMEMBERED", remembered)
+        model.forget()
+        for text, (units, *best) in zip(texts, model.best_of(texts), strict=True):
+            assert list(units) == model.units(text)
+            assert [(score, ids.tolist()) for score, ids in model.segmentations(units, *best, 4)] == model.encode(text, 4)
+    model.forget()
+    assert [list(units) for units, *_ in model.best_of(["", ""])] == [[], []]
