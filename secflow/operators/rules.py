@@ -122,25 +122,37 @@ def range_spans(ranges: str, compat_zero_is_any: bool = True) -> str:
     return f"array_distinct(flatten(transform({known}, r -> array_compact(array({inside}, {wrapped}, {opened})))))"
 
 
-def with_nodes(rules: DataFrame, ranges: str, i: int, compat_zero_is_any: bool = True) -> DataFrame:
-    """One row for each segment of a rule's ranges on axis ``i``: level ``l{i}``, node ``n{i}``, rank ``q{i}``.
+def _with_edges(rules: DataFrame, ranges: str, i: int, compat_zero_is_any: bool) -> DataFrame:
+    """One row for each range of a rule on axis ``i`` and level ``l{i}`` with the ends ``_e`` of its segments there.
 
-    The segments are the largest aligned ones that make up the ranges.  Steps are generators, whose
-    output is computed once and never copied into what follows.
+    Levels are joined, not exploded.  Catalyst takes a join to be as large as the product of its
+    sides, but an explode to make one row of each: it would broadcast rules by the size of their
+    files, of which the segments are many hundred times.  So only AQE broadcasts them, by measure.
     """
     kept = [c for c in rules.columns if c != ranges]
     spans = rules.selectExpr(*kept, f"explode({range_spans(ranges, compat_zero_is_any)}) as _s")
-    cut = spans.selectExpr("*", f"explode(if(_s.low = {OPEN}, array({OPEN}), sequence(0, {LEVELS - 1}))) as l{i}")
+    rows = ", ".join(f"({n}, {n * BITS}, {(n + 1) * BITS}, {str(n == LEVELS - 1).lower()})" for n in (OPEN, *range(LEVELS)))
+    levels = rules.sparkSession.sql(f"select * from values {rows} as t(l{i}, _here, _above, _top)")
+    cut = spans.join(F.broadcast(levels), F.expr(f"(l{i} = {OPEN}) = (_s.low = {OPEN})"))
 
     def ceiling(bits: str) -> str:
         return f"shiftright(_s.low + shiftleft(1L, {bits}) - 1, {bits})"
 
-    here, above = f"l{i} * {BITS}", f"(l{i} + 1) * {BITS}"
     # Segments of this level that none of the next level holds lie left and right of those.
-    edges = cut.selectExpr("*", f"""explode(array(named_struct(
-        'first', {ceiling(here)}, 'stop', shiftright(_s.stop, {here}),
-        'inner', if(l{i} < {LEVELS - 1}, shiftleft({ceiling(above)}, {BITS}), null),
-        'outer', if(l{i} < {LEVELS - 1}, shiftleft(shiftright(_s.stop, {above}), {BITS}), null)))) as _e""")
+    return cut.selectExpr(*kept, f"l{i}", f"""explode(array(named_struct(
+        'first', {ceiling("_here")}, 'stop', shiftright(_s.stop, _here),
+        'inner', if(not _top, shiftleft({ceiling("_above")}, {BITS}), null),
+        'outer', if(not _top, shiftleft(shiftright(_s.stop, _above), {BITS}), null)))) as _e""")
+
+
+def with_nodes(rules: DataFrame, ranges: str, i: int, compat_zero_is_any: bool = True) -> DataFrame:
+    """One row for each segment of a rule's ranges on axis ``i``: level ``l{i}``, node ``n{i}``, rank ``q{i}``.
+
+    The segments are the largest aligned ones that make up the ranges.  Steps are generators, whose
+    output is computed once and never copied into what follows.
+    """
+    kept = [c for c in rules.columns if c != ranges]
+    edges = _with_edges(rules, ranges, i, compat_zero_is_any)
 
     def between(low: str, stop: str) -> str:
         return f"if({low} < {stop}, sequence({low}, {stop} - 1), cast(array() as array<bigint>))"
@@ -151,6 +163,15 @@ def with_nodes(rules: DataFrame, ranges: str, i: int, compat_zero_is_any: bool =
     return edges.selectExpr(*kept, f"l{i}", f"if(l{i} = {OPEN}, 1, 0) as q{i}", f"explode({nodes}) as n{i}")
 
 
+def with_levels(rules: DataFrame, ranges: str, i: int, compat_zero_is_any: bool = True) -> DataFrame:
+    """One row for each level ``l{i}`` on which a range of a rule has segments."""
+    kept = [c for c in rules.columns if c != ranges]
+    edges = _with_edges(rules, ranges, i, compat_zero_is_any)
+    return edges.where(f"""case when l{i} = {OPEN} then true
+        when coalesce(_e.inner < _e.outer, false) then _e.first < _e.inner or _e.outer < _e.stop
+        else _e.first < _e.stop end""").select(*kept, f"l{i}")
+
+
 def point_node(point: str, level: str) -> str:
     """SQL of the segment of a level that holds a point; NULL if the point is absent, but open rules need none."""
     return (f"case when {level} = {OPEN} then cast({OPEN} as bigint) "
@@ -239,15 +260,16 @@ def prepare(rules: DataFrame, layers: Layers, payload: list[str], compat_zero_is
     else:
         keyed = keyed.withColumns({"node": F.lit(""), "leaf": F.lit(True), "shape": F.lit("")})
     axes = range(len(layers.ranges))
+    spots = levels = keyed
     for i, layer in enumerate(layers.ranges):
-        keyed = with_nodes(keyed, f"_{layer.name}", i, compat_zero_is_any)
+        spots = with_nodes(spots, f"_{layer.name}", i, compat_zero_is_any)
+        levels = with_levels(levels, f"_{layer.name}", i, compat_zero_is_any)
     # Rows of one spot have equal exact and path ranks, so range ranks and id decide.
     spot = [f"{part}{i}" for i in axes for part in "ln"]
-    best = keyed.groupBy("_k", "mask", "node", "leaf", "shape", *spot).agg(
+    best = spots.groupBy("_k", "node", "leaf", "shape", *spot).agg(
         F.min(F.struct(*[f"q{i}" for i in axes], "rule_id", *payload)).alias("rule"))
     forms = F.collect_set(F.struct("shape", *[f"l{i}" for i in axes]))
-    keys = best.groupBy("_k", "mask").agg(forms.alias("forms"))
-    return Prepared(best.drop("mask"), keys)
+    return Prepared(best, levels.groupBy("_k", "mask").agg(forms.alias("forms")))
 
 
 def _event_columns(layers: Layers) -> dict[str, Column]:
@@ -283,7 +305,9 @@ def find_rules(lookups: DataFrame, prepared: Prepared, layers: Layers, payload:
     probes = _probes(lookups, layers).where(F.array_contains(masks, mask)).select(
         by, *["e_path"] * path, *[f"p{i}" for i in axes], *[F.col(f"c_{n}.rank").alias(f"r_{n}") for n in names], key.alias("_k"))
     ranks = [f"r_{n}" for n in names]
-    met = probes.join(prepared.keys.select("_k", "forms"), "_k").selectExpr(*probes.columns, "explode(forms) as _f")
+    # An outer join never broadcasts the probes, whose size Catalyst cannot tell either.
+    met = probes.join(prepared.keys.select("_k", "forms"), "_k", "left").selectExpr(
+        *probes.columns, "explode(coalesce(forms, array())) as _f")
     spots = [f"_f.l{i}" for i in axes] + [f"{point_node(f'p{i}', f'_f.l{i}')} as n{i}" for i in axes]
     if path:
         met = met.withColumns({"node": _path_node(F.col("_f.shape")), "_depth": F.size(F.split("e_path", MARK))})

@@ -100,6 +100,31 @@ def test_one_best_rule_for_each_spot(spark):
     assert best.count() <= 8 and {r[0] for r in best.select("rule.rule_id").collect()} == {0, 500}
 
 
+def test_keys_name_the_forms_of_the_best_rules(spark):
+    prepared = prepare_control(as_rules(spark, port_rules(3, 120) + [(500, None, "x", "7", "Allowed"), (501, "10.0.0.9", "x", "7", "Allowed")]), "connection")
+    forms = {tuple(r) for r in prepared.keys.selectExpr("_k", "explode(forms) as f").select("_k", "f.*").collect()}
+    assert forms == {tuple(r) for r in prepared.best.select("_k", "shape", "l0", "l1").distinct().collect()}
+    assert prepared.keys.count() == prepared.best.select("_k").distinct().count() == 3
+
+
+def test_rules_are_not_broadcast_by_the_size_of_their_file(spark, calendar, tmp_path):
+    """A file of some kilobytes makes segments of many megabytes; which side is small is only known by measure."""
+    plain = [(i, None, f"{i + 1}-{i + 900}", f"{3 * i + 1}-{3 * i + 900}", "Allowed") for i in range(200)]
+    as_rules(spark, plain).coalesce(1).write.parquet(str(tmp_path / "rules"))
+    spark.createDataFrame([(i, "10.0.0.1", i, 3 * i) for i in range(300)], "i int, s string, sp int, dp int").write.parquet(str(tmp_path / "events"))
+    prepared = prepare_control(spark.read.parquet(str(tmp_path / "rules")), "connection")
+    estimate = int(str(prepared.best._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert estimate > max(100 * prepared.best.count(), 10 << 20)
+    cases = spark.read.parquet(str(tmp_path / "events"))
+    done = control(with_event(
+        cases, collector__organization="org1", source__ip=F.col("s"), source__port=F.col("sp"), destination__port=F.col("dp"),
+        interaction__protocol="tcp", eventSource__category="Firewall"), prepared, "connection", calendar)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"SortMergeJoin \[_k#", plan)) == 2 and not re.search(r"BroadcastHashJoin \[_k#", plan)
+    for row in done.collect():
+        assert row["rule_id"] == winner(plain, row["s"], row["sp"], row["dp"]), row
+
+
 def test_rows_without_a_key_are_spread(spark):
     left = spark.range(4000).withColumn("k", F.when(F.col("id") < 3, F.col("id")))
     found = spark.range(2).select(F.col("id").alias("k2"), F.lit("x").alias("v"))
