@@ -14,7 +14,7 @@ from secflow.operators.geo import enrich_geo, geo_lookup
 from secflow.operators.schedule import schedule_flags
 from secflow.operators.stats import enrichment_stats
 from secflow.plans.enrich import enrich_job
-from secflow.session import checkpoint_dir
+from secflow.session import checkpoint_dir, spread
 from secflow.streaming.versions import publish_rules, read_rules
 
 QUERIES, SQL = {}, {}
@@ -500,7 +500,8 @@ SELECT x.event_id, n AS rule_id, CASE WHEN allowed THEN 'Allowed' WHEN NOT allow
 FROM x LEFT JOIN best USING (event_id)""")
 def control_many_ranges(spark, folder):
     """Connections looked up among as many port rules of one organization as there are orders."""
-    numbered = table(spark, folder, "orders").selectExpr(
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    numbered = spread(orders, 16 << 20).selectExpr(
         "cast(o_orderkey as int) as n", "o_custkey as p", "cast(round(o_totalprice) as int) % 50 as q")
     none = "cast(null as string)"
     rules = numbered.selectExpr(

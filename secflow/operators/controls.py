@@ -144,6 +144,11 @@ class Control:
     scheduled: bool = False
     logon_types: bool = False
 
+    @property
+    def payload(self) -> list[str]:
+        """What the verdict reads of a rule; every segment of a prepared rule carries it."""
+        return ["result", *["intervals"] * self.scheduled, *["aux1"] * self.logon_types]
+
 
 CONTROLS = {
     "windows_logon": Control("WindowsLogon", _windows_logon, _logon_eligible,
@@ -157,6 +162,7 @@ CONTROLS = {
 }
 
 
+#: What a rule can carry.
 PAYLOAD = ["result", "intervals", "aux1"]
 
 
@@ -164,7 +170,7 @@ def prepare_control(rules: DataFrame, kind: str, compat_zero_is_any: bool = True
     """The rules of one control, ready to be written or looked up."""
     chosen = CONTROLS[kind]
     own = rules.where(F.col("type") == chosen.rule_type)
-    return prepare(own, chosen.layers(F.col("event")), PAYLOAD, compat_zero_is_any)
+    return prepare(own, chosen.layers(F.col("event")), chosen.payload, compat_zero_is_any)
 
 
 def control(
@@ -181,7 +187,7 @@ def control(
     chosen = CONTROLS[kind]
     e = F.col(event)
     own = rules if isinstance(rules, Prepared) else prepare_control(rules, kind, compat_zero_is_any)
-    matched = match_rules(df, own, chosen.layers(e), PAYLOAD, chosen.eligible(e), probe=probe, by=by)
+    matched = match_rules(df, own, chosen.layers(e), chosen.payload, chosen.eligible(e), probe=probe, by=by)
     rule = F.col("rule")
     verdict = rule["result"]
     if chosen.scheduled:

@@ -100,6 +100,14 @@ def test_one_best_rule_for_each_spot(spark):
     assert best.count() <= 8 and {r[0] for r in best.select("rule.rule_id").collect()} == {0, 500}
 
 
+def test_prepared_rules_carry_what_the_verdict_reads(spark):
+    rules = as_rules(spark, port_rules(2, 5))
+    carried = {kind: prepare_control(rules, kind).best.select("rule.*").columns for kind in ("connection", "windows_object", "vpn_logon", "windows_logon")}
+    assert carried == {
+        "connection": ["q0", "q1", "rule_id", "result"], "windows_object": ["q0", "rule_id", "result"],
+        "vpn_logon": ["q0", "rule_id", "result", "intervals"], "windows_logon": ["q0", "rule_id", "result", "intervals", "aux1"]}
+
+
 def test_keys_name_the_forms_of_the_best_rules(spark):
     prepared = prepare_control(as_rules(spark, port_rules(3, 120) + [(500, None, "x", "7", "Allowed"), (501, "10.0.0.9", "x", "7", "Allowed")]), "connection")
     forms = {tuple(r) for r in prepared.keys.selectExpr("_k", "explode(forms) as f").select("_k", "f.*").collect()}
